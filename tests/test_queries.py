@@ -1,0 +1,55 @@
+"""Every registered query against DuckDB on the same tables."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+TABLES = ("events", "lineitem", "supplier")
+QUERIES = entry_points.queries()
+SQL = entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'"
+        )
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_equals_sql(spark, duck, name):
+    frame = QUERIES[name](spark, FOLDER)
+    columns = sorted(frame.columns)
+    ours = Counter(map(tuple, frame.select(columns).collect()))
+    result = duck.execute(SQL[name])
+    order = [c[0] for c in result.description]
+    assert sorted(order) == columns
+    place = [order.index(c) for c in columns]
+    theirs = Counter(tuple(row[i] for i in place) for row in result.fetchall())
+    assert sum(ours.values()) > 0
+    assert ours == theirs
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_runs_without_sql(spark, name):
+    assert QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).columns == [
+        "turbine_id",
+        "window_start",
+        "min_power",
+        "max_power",
+        "avg_power",
+    ]
