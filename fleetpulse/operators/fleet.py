@@ -42,6 +42,9 @@ def drop_faulty(df: DataFrame, ratings: DataFrame, key: str = "turbine_id") -> D
     Rows without a rating (among them those with a NULL key) are dropped. No join
     strategy is forced: Spark broadcasts the ratings when their measured size is
     under its limit and otherwise sort-merges, splitting hot turbines at run time.
+    It can split only where both sides are shuffled for the join itself, so hand in
+    ratings that were written out rather than an aggregation, which is already
+    partitioned by the key and would pin each turbine to one task.
     """
     healthy = ratings.select(key, "turbine_status").where(F.col("turbine_status") != FAULTY)
     return df.join(healthy, key)

@@ -119,10 +119,12 @@ def run_gold(
     """Flags, ratings, the readings of sound turbines, and their daily summary."""
     layers.enter(spark)
     gold = build_gold(spark.table(layers.readings), params)
-    layers.save(gold.ratings, layers.ratings, mode)
-    layers.save(gold.analysis, layers.analysis, mode)
-    layers.save(gold.summary, layers.summary, mode)
-    gold.release()
+    try:
+        layers.save(gold.ratings, layers.ratings, mode)
+        layers.save(gold.analysis, layers.analysis, mode)
+        layers.save(gold.summary, layers.summary, mode)
+    finally:
+        gold.release()
 
 
 def run_all(
@@ -141,12 +143,12 @@ class Gold:
     ratings: DataFrame
     analysis: DataFrame
     summary: DataFrame
-    scored: Staged
+    staged: tuple[Staged, ...]
 
     def release(self) -> None:
-        """Free what the three frames read from; they cannot be used afterwards."""
-        self.ratings.unpersist()
-        self.scored.discard()
+        """Delete what the three frames read from; they cannot be used afterwards."""
+        for intermediate in self.staged:
+            intermediate.discard()
 
 
 def build_gold(
@@ -156,19 +158,22 @@ def build_gold(
 
     Rows are scored and written to the shared folder once; everything after reads
     the columns it needs from there. Rating and summary aggregate before they
-    shuffle. The summary is filtered after aggregation rather than before, which
-    gives the same rows, since faulty turbines go as a whole, and joins one row per
-    turbine and day instead of every reading.
+    shuffle. Ratings are written too, being used three times and so that the joins
+    with them can adapt (see ``drop_faulty``). The summary is filtered after
+    aggregation rather than before, which gives the same rows, since faulty turbines
+    go as a whole, and joins one row per turbine and day instead of every reading.
     """
     powered = with_expected_power(readings, params)
     model = fit_forest(powered, params, key=key)
     flagged = flag_zscore(powered, params)
     scored = stage(round_power(outlier_score(flagged, model)), "scores")
     rows = combine_flags(flag_above_quantile(scored.frame, params))
-    ratings = rate_turbines(rows, params).persist()
-    analysis = drop_faulty(rows, ratings)
-    summary = drop_faulty(summarize_power(rows, params), ratings)
-    return Gold(ratings, analysis, summary.drop("turbine_status"), scored)
+    rated = stage(rate_turbines(rows, params), "ratings")
+    analysis = drop_faulty(rows, rated.frame)
+    summary = drop_faulty(summarize_power(rows, params), rated.frame)
+    return Gold(
+        rated.frame, analysis, summary.drop("turbine_status"), (scored, rated)
+    )
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -181,8 +181,8 @@ def q_unit_status(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_healthy_readings(spark: SparkSession, folder: str) -> DataFrame:
     units = rated_units(spark, folder)
-    ratings = rate_turbines(units, key="unit_id", flag="flag")
-    healthy = drop_faulty(units, ratings, key="unit_id")
+    ratings = stage(rate_turbines(units, key="unit_id", flag="flag"), "ratings")
+    healthy = drop_faulty(units, ratings.frame, key="unit_id")
     return healthy.select("event_id", "unit_id", "turbine_status")
 
 
@@ -237,7 +237,8 @@ def q_gold_chain_surrogate(spark: SparkSession, folder: str) -> DataFrame:
     )
     powered = with_expected_power(clean_readings(raw), params)
     rows = combine_flags(round_power(flag_zscore(powered, params)))
-    return summarize_power(drop_faulty(rows, rate_turbines(rows, params)), params)
+    ratings = stage(rate_turbines(rows, params), "ratings").frame
+    return drop_faulty(summarize_power(rows, params), ratings).drop("turbine_status")
 
 
 def _event_gold(spark: SparkSession, folder: str) -> Gold:

@@ -1,0 +1,22 @@
+from __future__ import annotations
+
+import io
+from contextlib import redirect_stdout
+
+
+def plan(df, mode: str = "formatted") -> str:
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
+
+
+def final_plan(df) -> str:
+    """The plan after it ran, with run-time changes applied."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df, *columns):
+    frame = df.select(*columns) if columns else df
+    return sorted(map(tuple, frame.collect()), key=repr)
