@@ -73,9 +73,11 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> Tree:
     pending = [(0, 0, points)]
     while pending:
         node, level, rows = pending.pop()
-        lowest, highest = rows.min(axis=0), rows.max(axis=0)
-        varying = np.flatnonzero(highest > lowest)
-        if level == depth or not len(varying):
+        varying = ()
+        if level < depth and len(rows) > 1:
+            lowest, highest = rows.min(axis=0), rows.max(axis=0)
+            varying = np.flatnonzero(highest > lowest)
+        if not len(varying):
             tree.path[slots_below(node, level, depth)] = level + mean_path(len(rows))
             continue
         feature = varying[rng.integers(len(varying))]

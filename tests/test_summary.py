@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from fleetpulse.operators.summary import summarize_power
 from fleetpulse.params import Params
@@ -74,6 +77,11 @@ def test_mean_does_not_depend_on_row_order(spark):
         ([float("inf"), 1.0], float("inf")),
         ([1e15, 3e15], 2e15),
         ([None, 2.0, 4.0], 3.0),
+        ([-1.005, -1.005], -1.01),
+        ([-0.001, -0.003], 0.0),
+        ([-0.5, 1.51], 0.51),
+        ([4.4e7 + 0.01, 4.4e7 + 0.02], 4.4e7 + 0.02),
+        ([4.6e7, 4.8e7], 4.7e7),
         ([None, None], None),
     ],
 )
@@ -82,6 +90,28 @@ def test_values_beyond_decimals(spark, values, mean):
     assert rows(summarize_power(df), "avg_power") == [(mean,)]
 
 
+@settings(
+    max_examples=20,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(st.lists(st.integers(-10_000_000, 10_000_000), min_size=1, max_size=30))
+def test_mean_of_cents_is_exact(spark, cents):
+    df = spark.createDataFrame([(at(1), c / 100, 1) for c in cents], POWER)
+    mean = Decimal(sum(cents)) / len(cents) / 100
+    expected = float(mean.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    assert rows(summarize_power(df), "avg_power") == [(expected,)]
+
+
+def test_many_large_values_do_not_overflow(spark):
+    df = spark.range(3_000_000).selectExpr(
+        "timestamp'2021-01-01' AS timestamp",
+        "44000000D + (id % 2) / 100 AS power_output",
+        "1 AS turbine_id",
+    )
+    assert rows(summarize_power(df), "avg_power") == [(44000000.01,)]
+
+
 def test_nan_gives_nan(spark):
     df = spark.createDataFrame([(at(1), float("nan"), 1), (at(1), 1.0, 1)], POWER)
     assert str(summarize_power(df).first()["avg_power"]) == "nan"
