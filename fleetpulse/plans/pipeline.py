@@ -132,10 +132,11 @@ def run_all(
     folder: str,
     params: Params = Params(),
     layers: Layers = Layers(),
+    mode: str = "overwrite",
 ) -> None:
     run_bronze(spark, folder, layers)
     run_silver(spark, params, layers)
-    run_gold(spark, params, layers)
+    run_gold(spark, params, layers, mode)
 
 
 @dataclass(frozen=True)
