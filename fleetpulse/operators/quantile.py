@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-# A bucket with no more rows than this is fetched and sorted.
-FETCH_LIMIT = 50_000
+# A bucket with no more rows than this (4 MB of values) is fetched and sorted.
+FETCH_LIMIT = 500_000
 
 
 def exact_quantile(
@@ -78,8 +79,8 @@ def exact_quantile(
             return smaller + (larger - smaller) * weight
         low, high, skipped = row["first"], row["last"], passed
         if in_bucket <= fetch_limit:
-            found = values.where(F.col(column).between(low, high)).collect()
-            ordered = sorted(value for (value,) in found)
-            smaller = ordered[lower_rank - skipped]
-            larger = ordered[upper_rank - skipped]
+            found = values.where(F.col(column).between(low, high)).toArrow()
+            ordered = np.sort(found[column].to_numpy())
+            smaller = float(ordered[lower_rank - skipped])
+            larger = float(ordered[upper_rank - skipped])
             return smaller + (larger - smaller) * weight

@@ -15,8 +15,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.trees import TABLE_BUDGET, Tree, slots_below, tabulate
-from fleetpulse.functions.trees import unsplit_tree
+from fleetpulse.functions.trees import (
+    TABLE_BUDGET,
+    Tree,
+    slots_below,
+    tabulate,
+    unsplit_tree,
+)
 from fleetpulse.operators.fleet import combine_flags, drop_faulty, rate_turbines
 from fleetpulse.operators.forest import (
     ForestModel,
@@ -38,7 +43,14 @@ from fleetpulse.operators.silver import (
 )
 from fleetpulse.operators.summary import summarize_power
 from fleetpulse.params import Params
-from fleetpulse.plans.pipeline import Gold, Layers, build_gold, run_bronze, run_silver
+from fleetpulse.plans.pipeline import (
+    Gold,
+    Layers,
+    build_gold,
+    run_all,
+    run_bronze,
+    run_silver,
+)
 from fleetpulse.sources.staging import fresh_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +232,16 @@ def q_forest_scores_fixed_model(spark: SparkSession, folder: str) -> DataFrame:
     return flag_above_quantile(ranked, column="rank")
 
 
+def q_score_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """The forest's cut on a column where nearly every value is different."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_extendedprice") / 200_000.0).alias("score"),
+    )
+    return flag_above_quantile(lines)
+
+
 def q_forest_flags(spark: SparkSession, folder: str) -> DataFrame:
     powered = with_expected_power(event_readings(spark, folder))
     return flag_outliers(powered, key=ROW_KEY).select("event_id", "if_anomaly")
@@ -291,13 +313,21 @@ def write_raw_files(events: DataFrame, folder: str) -> None:
         rows.write.option("header", True).csv(f"{folder}/Location{number}.csv")
 
 
+def _own_layers(spark: SparkSession) -> Layers:
+    """Layers of this run alone, with all files in the shared folder."""
+    run = uuid.uuid4().hex
+    return Layers(
+        *(f"{layer}_{run}" for layer in ("bronze", "silver", "gold")),
+        root=fresh_path(spark, "layers"),
+    )
+
+
 def q_files_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Raw CSV files through both bronze tables to the silver table."""
-    root = fresh_path(spark, "files-to-silver")
-    write_raw_files(table(spark, folder, "events"), f"{root}/raw")
-    run = uuid.uuid4().hex
-    layers = Layers(bronze=f"bronze_{run}", silver=f"silver_{run}", root=root)
-    run_bronze(spark, f"{root}/raw", layers)
+    layers = _own_layers(spark)
+    raw = f"{layers.root}/raw"
+    write_raw_files(table(spark, folder, "events"), raw)
+    run_bronze(spark, raw, layers)
     run_silver(spark, layers=layers)
     return spark.table(layers.readings).select(
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
@@ -308,6 +338,15 @@ def q_files_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def q_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw CSV files through every layer to the summary table."""
+    layers = _own_layers(spark)
+    raw = f"{layers.root}/raw"
+    write_raw_files(table(spark, folder, "events"), raw)
+    run_all(spark, raw, layers=layers)
+    return spark.table(layers.summary)
+
+
 QUERIES: dict[str, Query] = {
     "clean_readings": q_clean_readings,
     "expected_power": q_expected_power,
@@ -320,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "healthy_readings": q_healthy_readings,
     "daily_summary": q_daily_summary,
     "forest_scores_fixed_model": q_forest_scores_fixed_model,
+    "score_cut": q_score_cut,
     "forest_flags": q_forest_flags,
     "gold_chain_surrogate": q_gold_chain_surrogate,
     "gold_ratings": q_gold_ratings,
@@ -327,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "gold_pipeline": q_gold_pipeline,
     "lineitem_gold": q_lineitem_gold,
     "files_to_silver": q_files_to_silver,
+    "files_to_gold": q_files_to_gold,
 }
 
 # DuckDB rounds binary values; Spark rounds the printed decimal half up. Going
@@ -468,6 +509,14 @@ SQL: dict[str, str] = {
             THEN 1 ELSE 0 END AS INTEGER) AS if_anomaly
         FROM s, c
     """,
+    "score_cut": """
+        WITH c AS (SELECT quantile_cont(l_extendedprice / 200000.0::DOUBLE, 0.85) AS cut
+          FROM lineitem)
+        SELECT l_orderkey, l_linenumber,
+          CAST(CASE WHEN l_extendedprice / 200000.0::DOUBLE > cut THEN 1 ELSE 0 END
+            AS INTEGER) AS if_anomaly
+        FROM lineitem, c
+    """,
     "gold_chain_surrogate": """
         WITH t AS (
           SELECT event_id, user_id AS turbine_id, ts, event_type,

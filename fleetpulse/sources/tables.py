@@ -29,8 +29,12 @@ def create_schema(
     spark: SparkSession, name: str, location: str | None = None
 ) -> None:
     """Create the schema unless it exists, optionally outside the warehouse."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)}{where}")
+    if location is None:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)}")
+    else:
+        spark.sql(
+            f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)} LOCATION {_text(location)}"
+        )
 
 
 def use_catalog(spark: SparkSession, name: str) -> None:
@@ -46,3 +50,8 @@ def drop_schemas(spark: SparkSession, *names: str) -> None:
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
