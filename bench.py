@@ -21,7 +21,7 @@ from fleetpulse.plans.queries import QUERIES  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:

@@ -36,8 +36,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     logging.basicConfig(
         stream=sys.stdout,
         level=logging.INFO,
-        format="%(asctime)s - %(levelname)s - %(message)s",
-        datefmt="%Y-%m-%d %H:%M:%S",
+        format="%(asctime)s %(levelname)s %(name)s: %(message)s",
     )
     logging.getLogger("py4j").setLevel(logging.WARNING)
     # Summary windows are UTC days, so timestamps are read and shown as UTC.

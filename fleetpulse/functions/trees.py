@@ -28,6 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Boxes that the tables of all trees together may have; each takes a byte or two.
 TABLE_BUDGET = 1 << 25
+# Boxes of one tree are numbered with this many bits, so that the numbers of three
+# trees fit in one 64-bit integer and are looked up at once.
+BOX_BITS = 21
+PACKED = 3
 
 
 class Tree(NamedTuple):
@@ -91,8 +95,9 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> Tree:
     return tree
 
 
-def tabulate(tree: Tree, width: int, budget: int) -> Tree:
+def tabulate(tree: Tree, width: int, budget: int = TABLE_BUDGET) -> Tree:
     """Add the table, unless it would have more than ``budget`` boxes."""
+    budget = min(budget, 1 << BOX_BITS)
     own = [thresholds(tree, feature) for feature in range(width)]
     shape = tuple(len(t) + 1 for t in own)
     if np.prod(shape, dtype=float) > budget:
@@ -129,36 +134,50 @@ class PathLengths:
     """Mean path length over a forest, for batches of rows."""
 
     def __init__(self, trees: Sequence[Tree], width: int) -> None:
-        self.trees = trees
-        own = [[thresholds(tree, f) for tree in trees] for f in range(width)]
-        self.edges = [np.unique(np.concatenate(of_feature)) for of_feature in own]
-        # Per tree and feature: bin among all edges -> share of the box number.
-        self.offsets = []
-        for number, tree in enumerate(trees):
-            shares, stride = [], 1
-            for feature in reversed(range(width if tree.table is not None else 0)):
-                mine = own[feature][number]
-                rank = np.searchsorted(mine, np.append(self.edges[feature], np.inf))
-                shares.append(rank * stride)
-                stride *= len(mine) + 1
-            self.offsets.append(shares[::-1])
+        self.count = len(trees)
+        self.walked = [tree for tree in trees if tree.table is None]
+        tabled = [tree for tree in trees if tree.table is not None]
+        self.edges = [
+            np.unique(np.concatenate([[], *(thresholds(t, f) for t in tabled)]))
+            for f in range(width)
+        ]
+        self.packs = []
+        for start in range(0, len(tabled), PACKED):
+            members = tabled[start : start + PACKED]
+            shares = [self._shares(tree) for tree in members]
+            packed = [
+                sum(share << BOX_BITS * place for place, share in enumerate(of_feature))
+                for of_feature in zip(*shares)
+            ]
+            self.packs.append((packed, members))
+
+    def _shares(self, tree: Tree) -> list[np.ndarray]:
+        """Per feature: bin among all edges -> what it adds to the box number."""
+        shares, stride = [], tree.table.size
+        for feature, edges in enumerate(self.edges):
+            own = thresholds(tree, feature)
+            stride //= len(own) + 1
+            shares.append(np.searchsorted(own, np.append(edges, np.inf)) * stride)
+        return shares
 
     def __call__(self, columns: Sequence[np.ndarray]) -> np.ndarray:
         rows = len(columns[0])
-        bins = [np.searchsorted(e, c) for e, c in zip(self.edges, columns)]
         total, length = np.zeros(rows), np.empty(rows)
-        box, share = np.empty(rows, np.int64), np.empty(rows, np.int64)
-        for tree, offsets in zip(self.trees, self.offsets):
-            if tree.table is None:
-                slot = walk(tree, columns)
-            else:
-                # Indices are in range by construction; "clip" skips the check.
-                offsets[0].take(bins[0], out=box, mode="clip")
-                for offset, place in zip(offsets[1:], bins[1:]):
-                    box += offset.take(place, out=share, mode="clip")
-                slot = tree.table.take(box, mode="clip")
-            total += tree.path.take(slot, out=length, mode="clip")
-        return total / len(self.trees)
+        for tree in self.walked:
+            total += tree.path.take(walk(tree, columns))
+        bins = [np.searchsorted(e, c) for e, c in zip(self.edges, columns)]
+        boxes, part = np.empty(rows, np.int64), np.empty(rows, np.int64)
+        # Indices are in range by construction; "clip" skips the check.
+        for (first, *others), members in self.packs:
+            first.take(bins[0], out=boxes, mode="clip")
+            for share, place in zip(others, bins[1:]):
+                boxes += share.take(place, out=part, mode="clip")
+            for tree in members:
+                np.bitwise_and(boxes, (1 << BOX_BITS) - 1, out=part)
+                slot = tree.table.take(part, mode="clip")
+                total += tree.path.take(slot, out=length, mode="clip")
+                boxes >>= BOX_BITS
+        return total / self.count
 
 
 def walk(tree: Tree, columns: Sequence[np.ndarray]) -> np.ndarray:

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.trees import (
-    TABLE_BUDGET,
     Tree,
     slots_below,
     tabulate,
@@ -217,7 +216,7 @@ def two_tree_model() -> ForestModel:
         (second, 2, 1, 1.0),
     ):
         tree.path[slots_below(node, level, 2)] = length
-    trees = tuple(tabulate(tree, 2, TABLE_BUDGET) for tree in (first, second))
+    trees = tuple(tabulate(tree, 2) for tree in (first, second))
     return ForestModel(("wind_speed", "power_output"), 256, trees)
 
 

@@ -102,7 +102,7 @@ def test_tables_walks_and_recursion_agree(seed, sample, width):
     rng = np.random.default_rng(seed)
     cloud = points(seed, 300, width)
     trees = [
-        grow_tree(cloud[rng.choice(300, sample, replace=False)], rng) for _ in range(3)
+        grow_tree(cloud[rng.choice(300, sample, replace=False)], rng) for _ in range(5)
     ]
     # Rows on the thresholds themselves, and beyond the sampled range.
     probe = np.concatenate([cloud, cloud * 3.0, np.full((1, width), np.nan)])
@@ -115,8 +115,8 @@ def test_tables_walks_and_recursion_agree(seed, sample, width):
     columns = [np.ascontiguousarray(c) for c in probe.T]
     expected = np.mean([[descend(t, r) for r in probe] for t in trees], axis=0)
     known = ~np.isnan(probe).any(axis=1)
-    tabulated = [tabulate(tree, width, 1 << 20) for tree in trees]
-    mixed = [tabulated[0], *trees[1:]]
+    tabulated = [tabulate(tree, width) for tree in trees]
+    mixed = [tabulated[0], trees[1], *tabulated[2:]]
     for forest in (tabulated, trees, mixed):
         found = PathLengths(forest, width)(columns)
         assert found[known] == pytest.approx(expected[known], abs=1e-12)
@@ -126,12 +126,15 @@ def test_large_trees_get_no_table():
     cloud = points(5, 256)
     tree = grow_tree(cloud, np.random.default_rng(0))
     assert tabulate(tree, 3, 10).table is None
-    assert tabulate(tree, 3, 1 << 20).table is not None
+    assert tabulate(tree, 3).table is not None
+    # Twelve features with a dozen splits each cut more boxes than can be numbered.
+    wide = grow_tree(points(7, 256, 12), np.random.default_rng(0))
+    assert tabulate(wide, 12).table is None
 
 
 def test_no_rows():
     tree = grow_tree(points(6, 16), np.random.default_rng(0))
     nothing = [np.empty(0)] * 3
     assert len(walk(tree, nothing)) == 0
-    for forest in ([tree], [tabulate(tree, 3, 1 << 20)]):
+    for forest in ([tree], [tabulate(tree, 3)]):
         assert len(PathLengths(forest, 3)(nothing)) == 0
