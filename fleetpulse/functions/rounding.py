@@ -1,0 +1,29 @@
+"""Rounding of doubles, per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Below this, scaling a value by a power of ten is off by less than 2**-17, well
+# within the distance from a tie that is left to the decimal rounding.
+SCALED_LIMIT = float(1 << 36)
+TIE_MARGIN = 1e-4
+
+
+def round_half_up(value: Column, digits: int) -> Column:
+    """``F.round`` on doubles, value for value, several times faster.
+
+    ``F.round`` prints each double as a decimal and rounds that, which matters only
+    near a tie. Elsewhere the nearest whole number of scaled units decides, and
+    dividing it by the scale gives the double nearest to the rounded decimal.
+    """
+    scale = float(10**digits)
+    scaled = F.abs(value) * scale
+    whole = F.floor(scaled)
+    rest = scaled - whole
+    clear = (scaled < SCALED_LIMIT) & (F.abs(rest - 0.5) > TIE_MARGIN)
+    units = whole + F.when(rest > 0.5, 1).otherwise(0)
+    # Whole numbers have no negative zero, so neither has the result.
+    signed = F.when(value < 0, -units).otherwise(units)
+    return F.when(clear, signed / F.lit(scale)).otherwise(F.round(value, digits))

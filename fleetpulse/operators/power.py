@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import readings
+from fleetpulse.functions.rounding import round_half_up
 from fleetpulse.params import Params
 
 
@@ -41,12 +42,11 @@ def flag_zscore(df: DataFrame, params: Params = Params()) -> DataFrame:
 
 def round_power(df: DataFrame, digits: int = 2) -> DataFrame:
     """Round both powers and take the residual anew from the rounded values."""
-    power = F.round("power_output", digits)
-    expected = F.round("expected_power", digits)
-    return df.withColumns(
+    rounded = df.withColumns(
         {
-            "power_output": power,
-            "expected_power": expected,
-            "error": F.round(power - expected, digits),
+            name: round_half_up(F.col(name), digits)
+            for name in ("power_output", "expected_power")
         }
     )
+    error = F.col("power_output") - F.col("expected_power")
+    return rounded.withColumn("error", round_half_up(error, digits))

@@ -1,0 +1,62 @@
+"""The fast rounding against Spark's own."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fleetpulse.functions.rounding import round_half_up
+
+
+def same(left, right):
+    if left is None or right is None:
+        return left is right
+    if math.isnan(left) or math.isnan(right):
+        return math.isnan(left) and math.isnan(right)
+    return left == right and math.copysign(1.0, left) == math.copysign(1.0, right)
+
+
+def differences(spark, values, digits):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    both = df.select(
+        "x",
+        round_half_up(F.col("x"), digits).alias("fast"),
+        F.round("x", digits).alias("slow"),
+    )
+    return [r for r in both.collect() if not same(r["fast"], r["slow"])]
+
+
+cents = st.integers(-(10**9), 10**9).map(lambda n: n / 1000)  # ends in 5: a tie
+nearly = st.tuples(cents, st.integers(-3, 3)).map(
+    lambda pair: pair[0] + pair[1] * math.ulp(pair[0])
+)
+
+
+@settings(
+    max_examples=20,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(st.lists(st.one_of(cents, nearly, st.floats()), min_size=50, max_size=200))
+def test_equals_spark(spark, values):
+    assert differences(spark, values, 2) == []
+
+
+@pytest.mark.parametrize("digits", [0, 2, 6])
+def test_special_values(spark, digits):
+    values = [
+        None, 0.0, -0.0, 1.005, -1.005, 2.675, 0.125, 0.5, 1.5, -0.5, -0.001, 0.0049999,
+        0.005, 1e-300, 1e15, 1e300, 687194767.355, 687194767.365, 2.0**53, float("inf"),
+        float("-inf"), float("nan"), 0.1 + 0.2, 10.07 - 10.06,
+    ]
+    assert differences(spark, values, digits) == []
+
+
+def test_every_half_cent(spark):
+    df = spark.range(-200_000, 200_000).select((F.col("id") / 1000.0).alias("x"))
+    fast, slow = round_half_up(F.col("x"), 2), F.round("x", 2)
+    assert df.where(~fast.eqNullSafe(slow)).count() == 0
