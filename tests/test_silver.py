@@ -141,6 +141,18 @@ def test_merge_refuses_unequal_columns(spark):
         merge_feeds(fleet, fleet.drop("turbine_id")).collect()
 
 
+def test_merge_widens_numbers(spark):
+    fleet = spark.createDataFrame(
+        [("a", 10, 5.0)], "timestamp string, power_output int, wind_speed double"
+    )
+    sites = spark.createDataFrame(
+        [("b", 2.5, 6)], "timestamp string, power_output double, wind_speed int"
+    )
+    merged = merge_feeds(fleet, sites)
+    assert [kind for _, kind in merged.dtypes] == ["string", "double", "double"]
+    assert rows(merged) == [("a", 10.0, 5.0), ("b", 2.5, 6.0)]
+
+
 def test_cleaning_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame([("a", 10.0, 5.0, 1)], READINGS).write.parquet(
         f"{tmp_path}/readings"

@@ -56,6 +56,30 @@ def test_window_length_is_a_parameter(spark):
     assert rows(summary, "window_start") == [(at(1),), (at(1, 6),)]
 
 
+def test_days_are_utc_in_any_session_zone(spark):
+    df = spark.sql(
+        """SELECT timestamp_seconds(s) AS timestamp, 1.0D AS power_output,
+                  1 AS turbine_id
+           FROM VALUES (86399), (86400), (172799) AS t(s)"""
+    )
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        starts = summarize_power(df).selectExpr("unix_seconds(window_start)")
+        assert rows(starts) == [(0,), (86400,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_zoneless_timestamps_stay_zoneless(spark):
+    df = spark.sql(
+        "SELECT timestamp_ntz'2021-01-01 23:59:59' AS timestamp, 1.0D AS power_output,"
+        " 1 AS turbine_id"
+    )
+    summary = summarize_power(df)
+    assert dict(summary.dtypes)["window_start"] == "timestamp_ntz"
+    assert rows(summary, "window_start") == [(at(1),)]
+
+
 def test_half_cents_round_up(spark):
     df = spark.createDataFrame([(at(1), 1.005, 1), (at(1), 1.005, 1)], POWER)
     assert rows(summarize_power(df)) == [(1, at(1), 1.01, 1.01, 1.01)]
