@@ -145,8 +145,8 @@ def _independent(counts: Sequence[int]) -> bool:
 def outlier_score(df: DataFrame, model: ForestModel, column: str = "score") -> DataFrame:
     """Add the anomaly score in (0, 1]: 2 ** -(mean path length / expected length).
 
-    The trees are a broadcast bounded by trees x samples; rows keep their place, so
-    scoring neither joins nor shuffles.
+    The trees are a broadcast, bounded by trees x samples and by ``TABLE_BUDGET`` for
+    their tables. Rows keep their place, so scoring neither joins nor shuffles.
     """
     scale = mean_path(model.sample_size)
     if scale == 0.0:  # at most one row was seen: every row is as odd as any other

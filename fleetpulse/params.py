@@ -35,6 +35,8 @@ class Params:
     def __post_init__(self) -> None:
         if not 0.0 < self.contamination_rate < 1.0:
             raise ValueError("contamination_rate must lie strictly between 0 and 1")
+        if self.seed < 0:
+            raise ValueError("seed must not be negative")
         if self.trees < 1 or self.max_samples < 1:
             raise ValueError("trees and max_samples must be positive")
         if self.trees * self.max_samples > MAX_FOREST_POOL:

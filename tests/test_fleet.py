@@ -146,7 +146,7 @@ def test_hot_turbine_is_split_when_the_join_shuffles(spark, tmp_path):
     assert joined.count() == df.count()
 
 
-@pytest.mark.parametrize("bad", [{"contamination_rate": 0.0}, {"trees": 0},
+@pytest.mark.parametrize("bad", [{"contamination_rate": 0.0}, {"trees": 0}, {"seed": -1},
                                  {"trees": 5000, "max_samples": 256}])
 def test_parameters_are_checked(bad):
     with pytest.raises(ValueError):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from fleetpulse.functions.trees import (
     PathLengths,
@@ -138,3 +141,22 @@ def test_no_rows():
     assert len(walk(tree, nothing)) == 0
     for forest in ([tree], [tabulate(tree, 3)]):
         assert len(PathLengths(forest, 3)(nothing)) == 0
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """Executors run the helpers from what is pickled with the function."""
+    cloud = points(8, 64)
+
+    def task():
+        tree = tabulate(grow_tree(cloud, np.random.default_rng(0)), 3)
+        return PathLengths([tree], 3)(list(cloud.T)).sum()
+
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(task))
+    run = subprocess.run(
+        [sys.executable, "-I", "-c",
+         "import pickle, sys; print(pickle.load(open('task', 'rb'))());"
+         "assert 'fleetpulse' not in sys.modules"],
+        cwd=tmp_path, capture_output=True, text=True, check=False,
+    )
+    assert run.returncode == 0, run.stderr
+    assert float(run.stdout) == pytest.approx(task())
