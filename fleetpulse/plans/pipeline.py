@@ -158,17 +158,26 @@ def build_gold(
     """The three gold frames over clean readings.
 
     Rows are scored and written to the shared folder once; everything after reads
-    the columns it needs from there. Rating and summary aggregate before they
-    shuffle. Ratings are written too, being used three times and so that the joins
-    with them can adapt (see ``drop_faulty``). The summary is filtered after
-    aggregation rather than before, which gives the same rows, since faulty turbines
-    go as a whole, and joins one row per turbine and day instead of every reading.
+    the columns it needs from there. Expected power and residual are not written,
+    being cheaper to derive again. Rating and summary aggregate before they shuffle.
+    Ratings are written too, being used three times and so that the joins with them
+    can adapt (see ``drop_faulty``). The summary is filtered after aggregation rather
+    than before, which gives the same rows, since faulty turbines go as a whole, and
+    joins one row per turbine and day instead of every reading.
     """
     powered = with_expected_power(readings, params)
     model = fit_forest(powered, params, key=key)
     flagged = flag_zscore(powered, params)
-    scored = stage(round_power(outlier_score(flagged, model)), "scores")
-    rows = combine_flags(flag_above_quantile(scored.frame, params))
+    scored = stage(
+        round_power(outlier_score(flagged, model)).drop("expected_power", "error"),
+        "scores",
+    )
+    derived = round_power(with_expected_power(scored.frame, params))
+    rows = combine_flags(
+        flag_above_quantile(derived, params).select(
+            *readings.columns, "expected_power", "error", "z_anomaly", "if_anomaly"
+        )
+    )
     rated = stage(rate_turbines(rows, params), "ratings")
     analysis = drop_faulty(rows, rated.frame)
     summary = drop_faulty(summarize_power(rows, params), rated.frame)

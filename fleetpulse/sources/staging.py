@@ -54,5 +54,5 @@ def stage(df: DataFrame, label: str) -> Staged:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return Staged(spark.read.schema(df.schema).parquet(path), path)
