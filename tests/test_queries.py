@@ -9,11 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fleetpulse.plans.queries import QUERIES, SQL
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "lineitem", "supplier")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
