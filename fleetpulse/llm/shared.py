@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,17 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+def once(key: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker makes once and keeps for its later tasks.
+
+    Modules sent by value are new in every task, so it is kept beside them.
+    """
+    kept = vars(sys).setdefault("_text_operators", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
