@@ -78,3 +78,31 @@ def whole_text(column: str = "text") -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else changed."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def document_key(id_column: str = "doc_id", text_column: str = "text") -> list[Column]:
+    """What tells documents apart: ``key_id`` and the digest ``key_text``."""
+    return [
+        F.col(id_column).cast("long").alias("key_id"),
+        F.unhex(F.sha2(whole_text(text_column), 256)).alias("key_text"),
+    ]
+
+
+def _keyed_join(docs: DataFrame, keys: DataFrame, how: str, columns: dict[str, str]) -> DataFrame:
+    # Packed, so that no column of the documents can clash with the keys.
+    packed = docs.select(*document_key(**columns), F.struct("*").alias("document"))
+    chosen = keys.select(F.col("key_id").alias("chosen_id"), F.col("key_text").alias("chosen_text"))
+    same = F.col("key_id").eqNullSafe(F.col("chosen_id")) & (
+        F.col("key_text") == F.col("chosen_text")
+    )
+    return packed.join(keep(chosen.distinct(), "keys"), same, how).select("document.*")
+
+
+def keyed_semi_join(docs: DataFrame, keys: DataFrame, **columns: str) -> DataFrame:
+    """The rows of ``docs`` whose ``document_key`` is among ``keys``."""
+    return _keyed_join(docs, keys, "left_semi", columns)
+
+
+def keyed_anti_join(docs: DataFrame, keys: DataFrame, **columns: str) -> DataFrame:
+    """The rows of ``docs`` whose ``document_key`` is not among ``keys``."""
+    return _keyed_join(docs, keys, "left_anti", columns)
