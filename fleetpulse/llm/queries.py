@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import exact_dedup, packing, simhash, token_lengths
+from fleetpulse.llm import decontaminate, exact_dedup, packing, simhash, token_lengths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_packing": packing.op4_packing,
     "op5_token_lengths": token_lengths.op5_token_lengths,
+    "op7_decontamination": decontaminate.op7_decontamination,
     "op8_simhash": simhash.op8_simhash,
 }
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op7_decontamination": decontaminate.SQL,
 }
