@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import decontaminate, exact_dedup, packing, simhash, token_lengths
+from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, simhash, token_lengths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_lengths": token_lengths.op5_token_lengths,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_simhash": simhash.op8_simhash,
+    "op10_substring_dedup": anchors.op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {
