@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **columns: str) -> Dat
         raise ValueError(f"a window needs at least {PERIOD} words")
     rows, texts = distinct_texts(docs, **columns)
 
-    def anchors(text: bytes) -> np.ndarray:
+    def anchors(text: bytes, copies: int) -> np.ndarray:
         words = text.split()
         if len(words) < window:
             return np.zeros(0, U64)

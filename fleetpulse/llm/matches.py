@@ -108,22 +108,20 @@ def by_part(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part), np.flatnonzero(parts == part)
 
 
-def live_anchors(texts: DataFrame, anchors: Callable[[bytes], np.ndarray]) -> DataFrame:
+def live_anchors(texts: DataFrame, anchors: Callable[[bytes, int], np.ndarray]) -> DataFrame:
     """For each part (``part``, ``data``) its anchor hashes that occur more than once.
 
-    ``anchors`` gives a text's hashes. The last bit is spent on telling whether a hash
+    ``anchors`` gives the hashes of a text, which is there in so many copies. The last bit is spent on telling whether a hash
     occurs more than once in its part already.
     """
     buckets = partitions(texts.sparkSession)
 
     def send(batches: Iterator) -> Iterator:
         for batch in batches:
-            column = batch.column("text")
+            column, copies = batch.column("text"), batch.column("copies").to_numpy()
             for part, rows in by_part(batch):
-                found = [anchors(column[int(i)].as_py()) for i in rows]
-                keys, counts = np.unique(
-                    np.concatenate(found) | U64(1), return_counts=True
-                ) if found else (np.zeros(0, U64), np.zeros(0))
+                found = [anchors(column[int(i)].as_py(), copies[i]) for i in rows]
+                keys, counts = np.unique(np.concatenate(found) | U64(1), return_counts=True)
                 keys = np.where(counts > 1, keys, keys ^ U64(1))
                 yield as_batch(packets(part, keys, buckets), PACKET)
 
@@ -149,7 +147,7 @@ def live_anchors(texts: DataFrame, anchors: Callable[[bytes], np.ndarray]) -> Da
         ]
         return pa.Table.from_batches([as_batch(rows, ANSWER)])
 
-    sent = texts.select("part", "text").mapInArrow(send, PACKET)
+    sent = texts.select("part", "copies", "text").mapInArrow(send, PACKET)
     return sent.groupBy("bucket").applyInArrow(answer, ANSWER)
 
 

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, simhash, token_lengths
+from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, repeats, simhash, token_lengths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_suffix_array_dedup": repeats.op2_suffix_array_dedup,
     "op4_packing": packing.op4_packing,
     "op5_token_lengths": token_lengths.op5_token_lengths,
     "op7_decontamination": decontaminate.op7_decontamination,
