@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, repeats, simhash, token_lengths
+from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, pii, quality, repeats, simhash, token_lengths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_suffix_array_dedup": repeats.op2_suffix_array_dedup,
+    "op3_quality": quality.op3_quality,
     "op4_packing": packing.op4_packing,
     "op5_token_lengths": token_lengths.op5_token_lengths,
+    "op6_pii": pii.op6_pii,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_simhash": simhash.op8_simhash,
     "op10_substring_dedup": anchors.op10_substring_dedup,
