@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.shared import by_value, keep, partitions, whole_text
@@ -26,10 +26,11 @@ ANSWER = "part INT, data BINARY"
 
 
 def distinct_texts(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *counts: Column, id_column: str = "doc_id", text_column: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
     """Every row's ``doc_id`` and ``digest``; and each text once, as bytes, with its
-    least ``doc_id``, its number of ``copies`` and its ``part``."""
+    least ``doc_id``, its number of ``copies``, its ``part`` and any further ``counts``
+    over its rows' ``doc_id``."""
     doc_id = F.col(id_column).cast("long").alias("doc_id")
     text = whole_text(text_column)
     code = F.unhex(F.sha2(text, 256)).alias("digest")
@@ -40,6 +41,7 @@ def distinct_texts(
         .agg(
             F.min("doc_id").alias("doc_id"),
             F.count("*").alias("copies"),
+            *counts,
             F.first("text").alias("text"),
         )
         .withColumn("part", F.spark_partition_id())
@@ -91,8 +93,12 @@ def packets(part: int, keys: np.ndarray, buckets: int, *values: np.ndarray) -> l
 
 def as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {
-        "INT": pa.int32(), "BIGINT": pa.int64(), "BINARY": pa.binary(), "STRING": pa.string(),
-    }
+        "INT": pa.int32(),
+        "BIGINT": pa.int64(),
+        "DOUBLE": pa.float64(),
+        "BINARY": pa.binary(),
+        "STRING": pa.string(),
+    }
     fields = [field.split() for field in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
     return pa.RecordBatch.from_arrays(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import anchors, decontaminate, exact_dedup, packing, pii, quality, repeats, simhash, token_lengths
+from fleetpulse.llm import anchors, brown, decontaminate, exact_dedup, packing, pii, quality, repeats, simhash, token_lengths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": pii.op6_pii,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_simhash": simhash.op8_simhash,
+    "op9_brown_scores": brown.op9_brown_scores,
     "op10_substring_dedup": anchors.op10_substring_dedup,
 }
 

@@ -20,6 +20,8 @@ def by_value(module: str) -> None:
 
 by_value(__name__)
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def once(key: str, make: Callable[[], Any]) -> Any:
     """What a Python worker makes once and keeps for its later tasks.
@@ -53,11 +55,17 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files.
 
-    Later passes read the columns they use; a lost executor costs a re-read.
+    Later passes read the columns they use; a lost executor costs a re-read. The
+    shuffles of the write are of no more use and their files go at once.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
