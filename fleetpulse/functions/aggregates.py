@@ -2,37 +2,32 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Values are summed as whole multiples of 1e-8. Magnitudes below this limit give
-# multiples below 2**52, which doubles hold exactly.
-SCALE_DIGITS = 8
-EXACT_BELOW = 4.5e7
-# Multiples are summed as two halves of this many bits, so that the sums of even
-# 2**36 rows fit in 64 bits.
-HALF_BITS = 26
+# Values are summed as decimals of this many places, so the order of the rows does not
+# matter. A finite value of 1e22 or more does not fit and raises.
+PLACES = 8
+SUMMED = f"decimal(30,{PLACES})"
 
 
 def rounded_mean(value: Column, digits: int) -> Column:
     """Mean rounded half up, the same whatever order the rows are summed in.
 
     Adding doubles rounds at every step, so two partitionings of the same rows can
-    disagree in the last digit and land on either side of a rounding tie. Whole
-    numbers add exactly, and faster than decimals do; decimals come in only once
-    per group, to divide. A group whose values are too large for that (or infinite,
-    or NaN) uses the plain mean instead.
+    disagree in the last digit and land on either side of a rounding tie. Decimals
+    add exactly. A group with an infinite or NaN value has the plain mean, which does
+    not depend on the order either.
     """
-    multiple = F.rint(value * float(10**SCALE_DIGITS)).try_cast("long")
-    high = F.try_sum(F.shiftright(multiple, HALF_BITS)).cast("decimal(28,0)")
-    low = F.try_sum(multiple.bitwiseAND(F.lit((1 << HALF_BITS) - 1)))
-    total = high * F.lit(1 << HALF_BITS).cast("decimal(9,0)") + low
+    finite = F.abs(value) < F.lit(math.inf)
+    # 26 digits before the point hold the sum of any group in range.
+    total = F.sum(F.when(finite, value).cast(SUMMED)).cast(f"decimal(34,{PLACES})")
 
     # Whole-number division of |total| by rows * unit, half a unit up.
-    unit = F.lit(10 ** (SCALE_DIGITS - digits)).cast("decimal(9,0)")
-    span = F.nullif(F.count(value), F.lit(0)).cast("decimal(20,0)") * unit
+    unit = F.lit(10.0**-digits).cast(f"decimal(9,{digits})")
+    span = F.nullif(F.count(value), F.lit(0)).cast("decimal(17,0)") * unit
     units = F.call_function("div", F.abs(total) * 2 + span, span * 2)
     exact = F.when(total < 0, -units).otherwise(units) / F.lit(float(10**digits))
-    return F.when(
-        (F.max(F.abs(value)) < EXACT_BELOW) & total.isNotNull(), exact
-    ).otherwise(F.round(F.avg(value), digits))
+    return F.when(F.count_if(value.isNotNull() & ~finite) > 0, F.avg(value)).otherwise(exact)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from fleetpulse.params import Params
 
 # Layout of the timestamps and file names of the site feed. The
-# site number comes from the last path part, or from the one above it when the
-# feed is a folder of part files.
+# site number comes from the last path part. Spark writes a file as a folder of part
+# files; there the folder is the file, and only then does its name decide.
 SITE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SITE_FILE_PATTERN = r"(?i)Location(\d+)[^/]*(?:/part-[^/]*)?$"
 

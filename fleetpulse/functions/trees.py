@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from statistics import NormalDist
 from typing import NamedTuple
 
 import numpy as np
@@ -180,6 +181,45 @@ class PathLengths:
         return total / self.count
 
 
+class SharedForest:
+    """A forest as it is broadcast: a worker builds its tables once for all its tasks."""
+
+    def __init__(self, trees: Sequence[Tree], width: int) -> None:
+        self.trees, self.width = [tuple(tree) for tree in trees], width
+        self.lengths: PathLengths | None = None
+
+    def path_lengths(self) -> PathLengths:
+        if self.lengths is None:
+            self.lengths = PathLengths([Tree(*t) for t in self.trees], self.width)
+        return self.lengths
+
+
+def draw_slots(seed: int, code: int, slots: int, share: float) -> np.ndarray:
+    """Which of a row's ``slots`` are drawn, each with probability ``share``.
+
+    The number is the binomial quantile of the row's own uniform number, which is what
+    ``sampled`` compares in Spark: at least one is drawn where that is below
+    ``1 - (1 - share) ** slots``. Nothing but the row's code and the seed decides.
+    """
+    uniform = (code % 2**64 >> 11) * 2.0**-53
+    mean = slots * share
+    if share >= 1.0:
+        count = slots
+    elif mean > 500:
+        bound = NormalDist(mean, (mean * (1 - share)) ** 0.5)
+        count = round(bound.inv_cdf(min(max(1.0 - uniform, 1e-15), 1 - 1e-15)))
+    else:
+        # From above: the smaller the number, the more slots are drawn.
+        chance = (1 - share) ** slots
+        count, left = 0, 1.0 - chance
+        while uniform < left and count < slots:
+            count += 1
+            chance *= (slots - count + 1) / count * share / (1 - share)
+            left -= chance
+    rng = np.random.default_rng([seed, code % 2**64])
+    return rng.choice(slots, min(max(count, 0), slots), replace=False)
+
+
 def walk(tree: Tree, columns: Sequence[np.ndarray]) -> np.ndarray:
     """Bottom slot per row, following the splits level by level."""
     values = np.concatenate(columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.readings import FAULTY, either_flag, rating
+from fleetpulse.functions.readings import FAULTY, NORMAL, either_flag, rating
 from fleetpulse.params import Params
 
 
@@ -48,3 +48,18 @@ def drop_faulty(df: DataFrame, ratings: DataFrame, key: str = "turbine_id") -> D
     """
     healthy = ratings.select(key, "turbine_status").where(F.col("turbine_status") != FAULTY)
     return df.join(healthy, key)
+
+
+def drop_rated_faulty(
+    df: DataFrame, ratings: DataFrame, key: str = "turbine_id"
+) -> DataFrame:
+    """``drop_faulty`` where every key of ``df`` but NULL is known to have a rating.
+
+    Only turbines that are not normal are joined, so the build side stays a fraction
+    of the fleet and most often small enough for Spark to broadcast by its own limit;
+    the rest is normal by its absence.
+    """
+    unusual = ratings.select(key, "turbine_status").where(F.col("turbine_status") != NORMAL)
+    status = F.coalesce("turbine_status", F.lit(NORMAL))
+    marked = df.where(F.col(key).isNotNull()).join(unusual, key, "left")
+    return marked.withColumn("turbine_status", status).where(status != FAULTY)

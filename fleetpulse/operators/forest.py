@@ -5,17 +5,18 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.trees import (
     TABLE_BUDGET,
-    PathLengths,
+    SharedForest,
     Tree,
+    draw_slots,
     grow_tree,
     mean_path,
     tabulate,
@@ -23,15 +24,12 @@ from fleetpulse.functions.trees import (
 from fleetpulse.operators.power import round_power
 from fleetpulse.operators.quantile import exact_quantile
 from fleetpulse.params import Params
-from fleetpulse.sources.staging import stage
+from fleetpulse.sources.staging import Staged, stage
 
 FEATURES = ("wind_speed", "expected_power", "power_output")
 # Columns that tell readings apart; those a frame has are used to draw the sample.
 KEY = ("turbine_id", "timestamp")
 
-# How far a sample's size may stray from its expectation, in standard deviations.
-_STRAY = 8.0
-
 
 @dataclass(frozen=True)
 class ForestModel:
@@ -45,102 +43,106 @@ def fit_forest(
     params: Params = Params(),
     features: Sequence[str] = FEATURES,
     key: Sequence[str] = KEY,
+    rows: int | None = None,
 ) -> ForestModel:
-    """Grow ``params.trees`` trees, each from up to ``params.max_samples`` rows."""
-    pool = sample_pool(df, features, key, params.trees * params.max_samples, params.seed)
-    sample_size = min(params.max_samples, len(pool))
+    """Grow ``params.trees`` trees, each from up to ``params.max_samples`` rows.
+
+    Each tree grows in a task of its own, from the rows that drew its number; only the
+    grown trees reach the driver. ``rows`` saves counting them (see ``row_counts``).
+    """
+    if rows is None:
+        rows = usable_rows(df.agg(*row_counts(features)).first(), features)
+    sample_size = min(params.max_samples, rows)
     if sample_size == 0:
         return ForestModel(tuple(features), 0, ())
 
-    spark = df.sparkSession
-    shared_pool = spark.sparkContext.broadcast(pool)
     seed, width, budget = params.seed, len(features), TABLE_BUDGET // params.trees
-
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points = shared_pool.value
-        for batch in batches:
-            grown = []
-            for number in batch["id"]:
-                rng = np.random.default_rng([seed, number])
-                chosen = rng.choice(len(points), sample_size, replace=False)
-                tree = tabulate(grow_tree(points[chosen], rng), width, budget)
-                grown.append((number, pickle.dumps(tuple(tree))))
-            yield pd.DataFrame(grown, columns=["number", "tree"])
-
-    tasks = min(params.trees, spark.sparkContext.defaultParallelism)
-    grown = spark.range(0, params.trees, 1, tasks).mapInPandas(
-        grow, "number long, tree binary"
+    names = list(features)
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        number = int(group["tree"].iloc[0])
+        chosen = group.sort_values(["place", *names]).head(sample_size)
+        rng = np.random.default_rng([seed, number])
+        points = np.ascontiguousarray(chosen[names].to_numpy(float))
+        tree = tabulate(grow_tree(points, rng), width, budget)
+        return pd.DataFrame({"number": [number], "tree": [pickle.dumps(tuple(tree))]})
+
+    grown = (
+        sampled(df, features, key, params, rows)
+        .groupBy("tree")
+        .applyInPandas(grow, "number long, tree binary")
     )
     trees = tuple(Tree(*pickle.loads(tree)) for _, tree in sorted(grown.collect()))
     return ForestModel(tuple(features), sample_size, trees)
 
 
-def sample_pool(
-    df: DataFrame, features: Sequence[str], key: Sequence[str], size: int, seed: int
-) -> np.ndarray:
-    """A uniform sample of ``size`` rows (all rows, if fewer) as a small array.
-
-    Every row draws a number in [0, 1) and the lowest draws win. A first pass counts
-    rows per power of two of the draw, which gives the tightest bound that still
-    lets ``size`` rows through; only those rows, fewer than about twice ``size``
-    whatever the table holds, are then fetched.
-
-    Draws are hashes of the row, so the sample does not depend on how the data is
-    partitioned. Copies of a row would all be in or all be out, though. Where that
-    matters, the counts miss what independent draws give, and per-row random draws
-    are used instead.
-    """
-    columns = [F.col(name).cast("double").alias(name) for name in features]
-    identity = [name for name in key if name in df.columns] + list(features)
-    hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *identity), 11) * 2.0**-53
-    for draw in (hashed, F.rand(seed)):
-        drawn = df.select(*columns, draw.alias("draw"))
-        counts = _halvings(drawn, features)
-        if _independent(counts):
-            break
-    level = max((k for k, rows in enumerate(counts) if rows >= size), default=0)
-    table = drawn.where(_halving() >= level).toArrow()
-    values = np.stack([table[name].to_numpy() for name in (*features, "draw")], axis=1)
-    order = np.lexsort(values.T)
-    return np.ascontiguousarray(values[order[:size], : len(features)])
-
-
-def _halving() -> Column:
-    """How often 1 can be halved before it falls below the draw."""
-    return F.floor(-F.log2(F.col("draw") + 2.0**-54))
-
-
-def _halvings(drawn: DataFrame, features: Sequence[str]) -> list[int]:
-    """Entry k: rows whose draw is below about 2**-k. At most 54 entries."""
-    infinity = F.lit(math.inf)
+def row_counts(features: Sequence[str] = FEATURES) -> tuple[Column, Column]:
+    """The aggregates ``fit_forest`` needs first: all rows, and those it cannot use."""
     finite = F.lit(True)
     for name in features:
-        finite = finite & F.coalesce(F.abs(F.col(name)) < infinity, F.lit(False))
-    rows = (
-        drawn.groupBy(_halving().alias("k"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(~finite).alias("unusable"))
-        .collect()
-    )
-    unusable = sum(row["unusable"] for row in rows)
-    if unusable:
+        value = F.abs(F.col(name).cast("double")) < F.lit(math.inf)
+        finite = finite & F.coalesce(value, F.lit(False))
+    return F.count(F.lit(1)).alias("rows"), F.count_if(~finite).alias("unusable")
+
+
+def usable_rows(counts: Row, features: Sequence[str] = FEATURES) -> int:
+    if counts["unusable"]:
         raise ValueError(
-            f"{unusable} rows have a missing or infinite value in {', '.join(features)}"
+            f"{counts['unusable']} rows have a missing or infinite value in "
+            f"{', '.join(features)}"
         )
-    exact = dict((row["k"], row["rows"]) for row in rows)
-    counts = []
-    for k in range(max(exact, default=-1), -1, -1):
-        counts.append(exact.get(k, 0) + (counts[-1] if counts else 0))
-    return counts[::-1]
-
-
-def _independent(counts: Sequence[int]) -> bool:
-    """Whether each entry is about half the one before, as independent draws give."""
-    means = (counts[0] * 0.5**k for k in range(len(counts)))
-    return all(
-        abs(rows - mean) <= _STRAY * (math.sqrt(mean) + 1.0)
-        for rows, mean in zip(counts, means)
+    return counts["rows"]
+
+
+def sampled(
+    df: DataFrame,
+    features: Sequence[str],
+    key: Sequence[str],
+    params: Params,
+    rows: int,
+) -> DataFrame:
+    """The rows each tree may grow from: ``tree``, the features and ``place``.
+
+    Every row has a slot for each tree, and a slot is drawn with the same small
+    probability, so that about twice ``max_samples`` rows meet at each tree (all rows,
+    if there are no more). ``place`` puts a tree's rows in a random order.
+
+    Equal rows are counted before anything is drawn, and the draw is a function of the
+    row's hash and its count. The sample thus depends on which rows there are and how
+    often, and on nothing else; copies of a reading enter it in proportion. Counting
+    combines within tasks and then moves the key and the features of the rest.
+    """
+    share = min(1.0, 2.0 * params.max_samples / max(rows, 1))
+    names, trees, seed = list(features), params.trees, params.seed
+    identity = [F.col(name) for name in key if name in df.columns and name not in names]
+    columns = [F.col(name).cast("double").alias(name) for name in names]
+    counted = (
+        df.select(F.xxhash64(F.lit(seed), *identity, *names).alias("code"), *columns)
+        .groupBy("code", *names)
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    uniform = F.shiftrightunsigned("code", 11) * 2.0**-53
+    drawn = counted.where(
+        uniform < 1.0 - F.pow(F.lit(1.0 - share), F.col("copies") * trees)
     )
 
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            slots = [
+                draw_slots(seed, code, copies * trees, share)
+                for code, copies in zip(batch["code"], batch["copies"], strict=True)
+            ]
+            repeated = batch.loc[batch.index.repeat([len(s) for s in slots])]
+            slot = np.concatenate([np.zeros(0, np.int64), *slots])
+            mixed = (slot.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            code = repeated["code"].to_numpy().astype(np.int64).view(np.uint64)
+            place = (code ^ mixed) * np.uint64(0xBF58476D1CE4E5B9)
+            place ^= place >> np.uint64(29)
+            yield repeated[names].assign(tree=slot % trees, place=place.view(np.int64))
+
+    types = ", ".join(f"{name} double" for name in names)
+    return drawn.mapInPandas(spread, f"{types}, tree long, place long")
+
 
 def outlier_score(df: DataFrame, model: ForestModel, column: str = "score") -> DataFrame:
     """Add the anomaly score in (0, 1]: 2 ** -(mean path length / expected length).
@@ -152,11 +154,11 @@ def outlier_score(df: DataFrame, model: ForestModel, column: str = "score") -> D
     if scale == 0.0:  # at most one row was seen: every row is as odd as any other
         return df.withColumn(column, F.lit(0.5))
     width = len(model.features)
-    shared = df.sparkSession.sparkContext.broadcast([tuple(t) for t in model.trees])
+    shared = df.sparkSession.sparkContext.broadcast(SharedForest(model.trees, width))
 
     @F.pandas_udf("double")
     def path_length(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        measure = PathLengths([Tree(*arrays) for arrays in shared.value], width)
+        measure = shared.value.path_lengths()
         for batch in batches:
             yield pd.Series(measure([series.to_numpy(float) for series in batch]))
 
@@ -173,19 +175,34 @@ def flag_above_quantile(
 
     Reads the score column of ``df`` twice or so: hand in something materialized.
     """
-    cut = exact_quantile(df, column, 1.0 - params.contamination_rate, 0.0, 1.0)
+    cut = exact_quantile(df, column, 1.0 - params.contamination_rate)
     flag = F.when(F.col(column) > F.lit(cut), 1).otherwise(0)
     return df.withColumn("if_anomaly", flag).drop(column)
 
 
+def stage_scores(df: DataFrame, model: ForestModel, *unneeded: str) -> Staged:
+    """Scores beside rounded powers, written once to the shared folder.
+
+    The forest sees unrounded values. The cut needs all scores before the first flag
+    is known, so they are kept rather than derived twice; ``unneeded`` columns are not.
+    """
+    return stage(round_power(outlier_score(df, model)).drop(*unneeded), "scores")
+
+
 def flag_outliers(
-    df: DataFrame, params: Params = Params(), key: Sequence[str] = KEY
-) -> DataFrame:
+    df: DataFrame,
+    params: Params = Params(),
+    key: Sequence[str] = KEY,
+    model: ForestModel | None = None,
+) -> Staged:
     """Isolation-forest flag per reading, then powers rounded to two digits.
 
-    The forest sees unrounded values. Scores are written to the shared folder once,
-    since the cut needs all of them before the first flag is known.
+    The caller discards the result when nothing reads its frame any more. A ``model``
+    that is given is used instead of one grown from the rows.
     """
-    model = fit_forest(df, params, key=key)
-    scored = round_power(outlier_score(df, model))
-    return flag_above_quantile(stage(scored, "scores").frame, params)
+    scored = stage_scores(df, model or fit_forest(df, params, key=key))
+    try:
+        return replace(scored, frame=flag_above_quantile(scored.frame, params))
+    except BaseException:
+        scored.discard()
+        raise

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import readings
-from fleetpulse.functions.rounding import round_half_up
 from fleetpulse.params import Params
 
 
@@ -20,19 +19,25 @@ def with_residual(df: DataFrame) -> DataFrame:
     return df.withColumn("error", F.col("power_output") - F.col("expected_power"))
 
 
-def flag_zscore(df: DataFrame, params: Params = Params()) -> DataFrame:
+def residual_spread() -> Column:
+    """Mean and sample deviation of the residual, as one aggregate."""
+    error = F.col("power_output") - F.col("expected_power")
+    return F.struct(F.avg(error).alias("mean"), F.stddev_samp(error).alias("deviation"))
+
+
+def flag_zscore(
+    df: DataFrame, params: Params = Params(), spread: Column | None = None
+) -> DataFrame:
     """Flag residuals further than k sample deviations from the fleet-wide mean.
 
     Mean and deviation come from one scalar subquery: a column-pruned partial
     aggregation whose single row is inlined as a literal, so the rows themselves
-    are neither joined nor shuffled. With an undefined deviation nothing is flagged.
+    are neither joined nor shuffled. A caller that knows them hands them in as
+    ``spread``. With an undefined deviation nothing is flagged.
     """
     with_error = with_residual(df)
-    spread = with_error.select(
-        F.struct(
-            F.avg("error").alias("mean"), F.stddev_samp("error").alias("deviation")
-        )
-    ).scalar()
+    if spread is None:
+        spread = with_error.select(residual_spread()).scalar()
     distance = F.abs(F.col("error") - spread["mean"])
     return with_error.withColumn(
         "z_anomaly",
@@ -44,9 +49,9 @@ def round_power(df: DataFrame, digits: int = 2) -> DataFrame:
     """Round both powers and take the residual anew from the rounded values."""
     rounded = df.withColumns(
         {
-            name: round_half_up(F.col(name), digits)
+            name: F.round(F.col(name), digits)
             for name in ("power_output", "expected_power")
         }
     )
     error = F.col("power_output") - F.col("expected_power")
-    return rounded.withColumn("error", round_half_up(error, digits))
+    return rounded.withColumn("error", F.round(error, digits))

@@ -1,4 +1,4 @@
-"""Exact quantiles of a bounded column, at any size."""
+"""Exact quantiles of a column, at any size."""
 
 from __future__ import annotations
 
@@ -17,20 +17,30 @@ def exact_quantile(
     df: DataFrame,
     column: str,
     fraction: float,
-    low: float,
-    high: float,
     fetch_limit: int = FETCH_LIMIT,
 ) -> float | None:
-    """Linearly interpolated quantile of values that lie in ``[low, high]``.
+    """Linearly interpolated quantile of all values; None without rows.
 
-    The two order statistics around the quantile are found by zooming in: a pass
-    counts rows in 4,096 equal buckets, and only the bucket that holds the wanted
-    ranks is looked at again, until it is small or holds a single value. A pass
-    moves at most 4,096 counters, so neither the number of rows nor the number of
-    distinct values matters, and the buckets narrow at least 4,096-fold per pass.
-    ``df`` is read once per pass, so hand in something materialized.
+    A first pass finds the range and refuses values without a rank (NULL, NaN) and
+    infinite ones. The two order statistics around the quantile are then found by
+    zooming in: a pass counts rows in 4,096 equal buckets, and only the bucket that
+    holds the wanted ranks is looked at again, until it is small or holds a single
+    value. A pass moves at most 4,096 counters, so neither the number of rows nor the
+    number of distinct values matters, and the buckets narrow at least 4,096-fold per
+    pass. ``df`` is read once per pass, so hand in something materialized.
     """
-    values = df.select(column)
+    values = df.select(F.col(column).cast("double").alias(column))
+    finite = F.coalesce(F.abs(F.col(column)) < F.lit(math.inf), F.lit(False))
+    ends = values.agg(
+        F.min(column).alias("low"),
+        F.max(column).alias("high"),
+        F.count_if(~finite).alias("unusable"),
+    ).first()
+    if ends["unusable"]:
+        raise ValueError(f"{ends['unusable']} rows have no finite {column}")
+    if ends["low"] is None:
+        return None
+    low, high = ends["low"], ends["high"]
     total: int | None = None
     skipped = 0  # rows below `low`
     lower_rank = upper_rank = 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions.aggregates import rounded_mean
 from fleetpulse.params import Params
+from fleetpulse.schema import SUMMARY_COLUMNS
 
 
 def summarize_power(
@@ -18,18 +19,15 @@ def summarize_power(
     of the data still reaches its reducer as one row per map task and window.
     """
     power = F.col("power_output")
+    window = F.window("timestamp", params.summary_window)
+    lowest, highest, mean = SUMMARY_COLUMNS[1:]
     return (
-        df.groupBy(key, F.window("timestamp", params.summary_window))
+        df.groupBy(key, window)
         .agg(
-            F.round(F.min(power), 2).alias("min_power"),
-            F.round(F.max(power), 2).alias("max_power"),
-            rounded_mean(power, 2).alias("avg_power"),
-        )
-        .select(
-            key,
-            F.col("window.start").alias("window_start"),
-            "min_power",
-            "max_power",
-            "avg_power",
+            F.round(F.min(power), 2).alias(lowest),
+            F.round(F.max(power), 2).alias(highest),
+            rounded_mean(power, 2).alias(mean),
         )
+        .withColumn(SUMMARY_COLUMNS[0], F.col("window.start"))
+        .select(key, *SUMMARY_COLUMNS)
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from typing import Any
 
-# Trees x samples is what the forest fit brings to the driver and broadcasts,
-# so it is bounded here: 2**20 rows of three doubles are 24 MB.
-MAX_FOREST_POOL = 1 << 20
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -39,10 +38,15 @@ class Params:
             raise ValueError("seed must not be negative")
         if self.trees < 1 or self.max_samples < 1:
             raise ValueError("trees and max_samples must be positive")
-        if self.trees * self.max_samples > MAX_FOREST_POOL:
-            raise ValueError(f"trees * max_samples must not exceed {MAX_FOREST_POOL}")
 
     @classmethod
     def from_config(cls, config: Mapping[str, Any] | None = None) -> Params:
-        """Build from a plain mapping, e.g. ``{"zscore_threshold": 3.0}``."""
-        return cls(**dict(config or {}))
+        """Build from a plain mapping, e.g. ``{"zscore_threshold": 3.0}``.
+
+        Keys of other jobs that share the mapping are passed over with a warning.
+        """
+        given = dict(config or {})
+        known = {field.name for field in fields(cls)}
+        for name in sorted(set(given) - known):
+            log.warning("ignoring the unknown parameter %s", name)
+        return cls(**{name: given[name] for name in given if name in known})

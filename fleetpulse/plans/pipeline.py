@@ -11,17 +11,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.fleet import combine_flags, drop_faulty, rate_turbines
+from fleetpulse.operators.fleet import combine_flags, drop_rated_faulty, rate_turbines
 from fleetpulse.operators.forest import (
     KEY,
+    ForestModel,
     fit_forest,
     flag_above_quantile,
-    outlier_score,
+    row_counts,
+    stage_scores,
+    usable_rows,
+)
+from fleetpulse.operators.power import (
+    flag_zscore,
+    residual_spread,
+    round_power,
+    with_expected_power,
 )
-from fleetpulse.operators.power import flag_zscore, round_power, with_expected_power
 from fleetpulse.operators.silver import (
     assign_site_ids,
-    clean_readings,
+    merge_feeds,
     standardize_site_feed,
 )
 from fleetpulse.operators.summary import summarize_power
@@ -85,29 +93,33 @@ class Layers:
             use_catalog(spark, self.catalog)
 
 
-def run_bronze(spark: SparkSession, folder: str, layers: Layers = Layers()) -> None:
-    """Raw files to tables. Site ids start after the ids of the saved fleet feed."""
+def run_bronze(
+    spark: SparkSession, folder: str, layers: Layers = Layers()
+) -> dict[str, int]:
+    """Raw files to tables; the rows of each feed.
+
+    Site ids start after the ids of the saved fleet feed.
+    """
     layers.enter(spark)
     fleet, fleet_rows = _counted(read_fleet_feed(spark, folder), "fleet")
     layers.save(fleet, layers.fleet_feed)
     sites, site_rows = _counted(read_site_feed(spark, folder), "sites")
     numbered = assign_site_ids(sites, spark.table(layers.fleet_feed))
     layers.save(numbered, layers.site_feed)
-    _report(fleet_rows, site_rows)
+    return _report(fleet_rows, site_rows)
 
 
 def run_silver(
     spark: SparkSession, params: Params = Params(), layers: Layers = Layers()
-) -> None:
-    """Both feeds in one layout, cleaned, in a single job that counts as it writes."""
+) -> dict[str, int]:
+    """Both feeds in one layout, cleaned; one job writes and counts each feed and both."""
     layers.enter(spark)
     fleet, fleet_rows = _counted(spark.table(layers.fleet_feed), "fleet")
     sites = standardize_site_feed(spark.table(layers.site_feed), params)
     sites, site_rows = _counted(sites, "sites")
-    merged = fleet.unionByName(sites, allowMissingColumns=False)
-    kept, kept_rows = _counted(clean_readings(merged), "kept")
+    kept, kept_rows = _counted(merge_feeds(fleet, sites), "kept")
     layers.save(kept, layers.readings)
-    _report(fleet_rows, site_rows, kept_rows)
+    return _report(fleet_rows, site_rows, kept_rows)
 
 
 def run_gold(
@@ -115,10 +127,11 @@ def run_gold(
     params: Params = Params(),
     layers: Layers = Layers(),
     mode: str = "overwrite",
+    model: ForestModel | None = None,
 ) -> None:
     """Flags, ratings, the readings of sound turbines, and their daily summary."""
     layers.enter(spark)
-    gold = build_gold(spark.table(layers.readings), params)
+    gold = build_gold(spark.table(layers.readings), params, model=model)
     try:
         layers.save(gold.ratings, layers.ratings, mode)
         layers.save(gold.analysis, layers.analysis, mode)
@@ -133,10 +146,13 @@ def run_all(
     params: Params = Params(),
     layers: Layers = Layers(),
     mode: str = "overwrite",
-) -> None:
-    run_bronze(spark, folder, layers)
-    run_silver(spark, params, layers)
-    run_gold(spark, params, layers, mode)
+    model: ForestModel | None = None,
+) -> dict[str, int]:
+    """All three layers; the row counts of the first two."""
+    counts = run_bronze(spark, folder, layers)
+    counts |= run_silver(spark, params, layers)
+    run_gold(spark, params, layers, mode, model)
+    return counts
 
 
 @dataclass(frozen=True)
@@ -153,37 +169,47 @@ class Gold:
 
 
 def build_gold(
-    readings: DataFrame, params: Params = Params(), key: tuple[str, ...] = KEY
+    readings: DataFrame,
+    params: Params = Params(),
+    key: tuple[str, ...] = KEY,
+    model: ForestModel | None = None,
 ) -> Gold:
     """The three gold frames over clean readings.
 
-    Rows are scored and written to the shared folder once; everything after reads
-    the columns it needs from there. Expected power and residual are not written,
-    being cheaper to derive again. Rating and summary aggregate before they shuffle.
-    Ratings are written too, being used three times and so that the joins with them
-    can adapt (see ``drop_faulty``). The summary is filtered after aggregation rather
-    than before, which gives the same rows, since faulty turbines go as a whole, and
-    joins one row per turbine and day instead of every reading.
+    One pass counts the rows and takes the moments of the residual, a second draws the
+    forest's sample (not for a given ``model``), a third scores the rows and writes
+    them to the shared folder; everything after reads the columns it needs from there.
+    Expected power and residual are not written, being cheaper to derive again. Rating
+    and summary aggregate before they shuffle. Ratings are written too, being used
+    three times and so that the joins with them can adapt (see ``drop_faulty``). The
+    summary is filtered after aggregation rather than before, which gives the same
+    rows, since faulty turbines go as a whole, and joins one row per turbine and day
+    instead of every reading.
     """
     powered = with_expected_power(readings, params)
-    model = fit_forest(powered, params, key=key)
-    flagged = flag_zscore(powered, params)
-    scored = stage(
-        round_power(outlier_score(flagged, model)).drop("expected_power", "error"),
-        "scores",
-    )
-    derived = round_power(with_expected_power(scored.frame, params))
-    rows = combine_flags(
-        flag_above_quantile(derived, params).select(
-            *readings.columns, "expected_power", "error", "z_anomaly", "if_anomaly"
+    first = powered.agg(*row_counts(), residual_spread().alias("spread")).first()
+    mean, deviation = (F.lit(x).cast("double") for x in first["spread"])
+    spread = F.struct(mean.alias("mean"), deviation.alias("deviation"))
+    if model is None:
+        model = fit_forest(powered, params, key=key, rows=usable_rows(first))
+    flagged = flag_zscore(powered, params, spread)
+    staged = [stage_scores(flagged, model, "expected_power", "error")]
+    try:
+        derived = round_power(with_expected_power(staged[0].frame, params))
+        rows = combine_flags(
+            flag_above_quantile(derived, params).select(
+                *readings.columns, "expected_power", "error", "z_anomaly", "if_anomaly"
+            )
         )
-    )
-    rated = stage(rate_turbines(rows, params), "ratings")
-    analysis = drop_faulty(rows, rated.frame)
-    summary = drop_faulty(summarize_power(rows, params), rated.frame)
-    return Gold(
-        rated.frame, analysis, summary.drop("turbine_status"), (scored, rated)
-    )
+        rated = stage(rate_turbines(rows, params), "ratings")
+        staged.append(rated)
+        analysis = drop_rated_faulty(rows, rated.frame)
+        summary = drop_rated_faulty(summarize_power(rows, params), rated.frame)
+        return Gold(rated.frame, analysis, summary.drop("turbine_status"), tuple(staged))
+    except BaseException:
+        for intermediate in staged:
+            intermediate.discard()
+        raise
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -192,7 +218,8 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(rows, F.count(F.lit(1)).alias(name)), rows
 
 
-def _report(*observations: Observation) -> None:
-    for observation in observations:
-        for name, rows in observation.get.items():
-            log.info("%s: %d rows", name, rows)
+def _report(*observations: Observation) -> dict[str, int]:
+    counts = {name: rows for o in observations for name, rows in o.get.items()}
+    for name, rows in counts.items():
+        log.info("%s: %d rows", name, rows)
+    return counts

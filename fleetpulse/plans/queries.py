@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,9 +50,11 @@ from fleetpulse.plans.pipeline import (
     build_gold,
     run_all,
     run_bronze,
+    run_gold,
     run_silver,
 )
-from fleetpulse.sources.staging import fresh_path, stage
+from fleetpulse.sources.staging import discard, fresh_path, stage
+from fleetpulse.sources.tables import drop_schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,10 +156,10 @@ def q_site_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_merged_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    views = table(spark, folder, "events").where(F.col("event_type") == "view")
-    lines = table(spark, folder, "lineitem").where(F.col("l_linenumber") == 1)
+    events = table(spark, folder, "events")
+    lines = table(spark, folder, "lineitem")
     calm = F.lit(0.0).alias("wind_speed")
-    fleet = views.select(
+    fleet = events.select(
         F.col("user_id").alias("turbine_id"),
         F.col("ts").alias("timestamp"),
         F.col("value").alias("power_output"),
@@ -192,8 +196,7 @@ def q_unit_status(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_healthy_readings(spark: SparkSession, folder: str) -> DataFrame:
     units = rated_units(spark, folder)
-    ratings = stage(rate_turbines(units, key="unit_id", flag="flag"), "ratings")
-    healthy = drop_faulty(units, ratings.frame, key="unit_id")
+    healthy = drop_faulty(units, rate_turbines(units, key="unit_id", flag="flag"), "unit_id")
     return healthy.select("event_id", "unit_id", "turbine_status")
 
 
@@ -201,23 +204,44 @@ def q_daily_summary(spark: SparkSession, folder: str) -> DataFrame:
     return summarize_power(event_readings(spark, folder))
 
 
-def two_tree_model() -> ForestModel:
-    """wind <= 5: 3, else power <= 60: 4, else 1; and power <= 150: 4, else 1."""
-    wind_speed, power = 0, 1
-    first, second = unsplit_tree(2), unsplit_tree(2)
-    _split(first, 0, wind_speed, 5.0)
-    _split(first, 2, power, 60.0)
-    _split(second, 0, power, 150.0)
-    for tree, node, level, length in (
-        (first, 1, 1, 3.0),
-        (first, 5, 2, 4.0),
-        (first, 6, 2, 1.0),
-        (second, 1, 1, 4.0),
-        (second, 2, 1, 1.0),
-    ):
-        tree.path[slots_below(node, level, 2)] = length
-    trees = tuple(tabulate(tree, 2) for tree in (first, second))
-    return ForestModel(("wind_speed", "power_output"), 256, trees)
+@dataclass(frozen=True)
+class FixedForest:
+    """Two trees written by hand: wind <= ``wind``: 3, else power <= ``low``: 4, else 1;
+    and power <= ``high``: 4, else 1."""
+
+    wind: float
+    low: float
+    high: float
+
+    def model(self) -> ForestModel:
+        wind_speed, power = 0, 1
+        first, second = unsplit_tree(2), unsplit_tree(2)
+        _split(first, 0, wind_speed, self.wind)
+        _split(first, 2, power, self.low)
+        _split(second, 0, power, self.high)
+        for tree, node, level, length in (
+            (first, 1, 1, 3.0),
+            (first, 5, 2, 4.0),
+            (first, 6, 2, 1.0),
+            (second, 1, 1, 4.0),
+            (second, 2, 1, 1.0),
+        ):
+            tree.path[slots_below(node, level, 2)] = length
+        trees = tuple(tabulate(tree, 2) for tree in (first, second))
+        return ForestModel(("wind_speed", "power_output"), 256, trees)
+
+    def depth_sql(self) -> str:
+        """The sum of both path lengths of a row with wind ``w`` and power ``p``."""
+        return (
+            f"(CASE WHEN w <= {self.wind} THEN 3 WHEN p <= {self.low} THEN 4 ELSE 1 END"
+            f" + CASE WHEN p <= {self.high} THEN 4 ELSE 1 END)"
+        )
+
+
+# For power from event values, from line prices, and from what the raw files hold.
+EVENT_FOREST = FixedForest(5.0, 60.0, 150.0)
+LINE_FOREST = FixedForest(45.0, 60_000.0, 80_000.0)
+FILE_FOREST = FixedForest(5.0, 20.0, 120.0)
 
 
 def _split(tree: Tree, node: int, feature: int, threshold: float) -> None:
@@ -225,9 +249,9 @@ def _split(tree: Tree, node: int, feature: int, threshold: float) -> None:
 
 
 def q_forest_scores_fixed_model(spark: SparkSession, folder: str) -> DataFrame:
-    scored = outlier_score(event_readings(spark, folder), two_tree_model())
+    scored = outlier_score(event_readings(spark, folder), EVENT_FOREST.model())
     rounded = scored.select("event_id", F.round("score", 9).alias("score"))
-    ranked = stage(rounded, "fixed-scores").frame.withColumn("rank", F.col("score"))
+    ranked = owned(stage(rounded, "fixed-scores")).frame.withColumn("rank", F.col("score"))
     return flag_above_quantile(ranked, column="rank")
 
 
@@ -236,14 +260,27 @@ def q_score_cut(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        (F.col("l_extendedprice") / 200_000.0).alias("score"),
+        F.col("l_extendedprice").alias("score"),
     )
     return flag_above_quantile(lines)
 
 
 def q_forest_flags(spark: SparkSession, folder: str) -> DataFrame:
-    powered = with_expected_power(event_readings(spark, folder))
-    return flag_outliers(powered, key=ROW_KEY).select("event_id", "if_anomaly")
+    """What holds for any grown forest: every row is flagged or not, no more than the
+    share are, and rows moved far from all others (ids divisible by 100) all are."""
+    far = F.col("event_id") % 100 == 0
+    readings = event_readings(spark, folder).withColumns(
+        {
+            "wind_speed": F.when(far, F.col("wind_speed") + 900.0).otherwise(F.col("wind_speed")),
+            "power_output": F.when(far, -9e9).otherwise(F.col("power_output")),
+        }
+    )
+    flagged = owned(flag_outliers(with_expected_power(readings), key=ROW_KEY)).frame
+    return flagged.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.sum("if_anomaly") <= F.ceil(F.count(F.lit(1)) * 0.15)).alias("within_share"),
+        F.sum(F.when(far, F.col("if_anomaly"))).alias("n_far_flagged"),
+    )
 
 
 def q_gold_chain_surrogate(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,12 +295,17 @@ def q_gold_chain_surrogate(spark: SparkSession, folder: str) -> DataFrame:
     )
     powered = with_expected_power(clean_readings(raw), params)
     rows = combine_flags(round_power(flag_zscore(powered, params)))
-    ratings = stage(rate_turbines(rows, params), "ratings").frame
+    ratings = rate_turbines(rows, params)
     return drop_faulty(summarize_power(rows, params), ratings).drop("turbine_status")
 
 
+# Shares that tell the turbines of the gold queries apart, so that every status occurs.
+GOLD_PARAMS = Params(faulty_rate=0.3, review_rate=0.2)
+
+
 def _event_gold(spark: SparkSession, folder: str) -> Gold:
-    return build_gold(clean_readings(event_readings(spark, folder)), key=ROW_KEY)
+    readings = clean_readings(event_readings(spark, folder))
+    return owned(build_gold(readings, GOLD_PARAMS, model=EVENT_FOREST.model()))
 
 
 def q_gold_ratings(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,7 +313,9 @@ def q_gold_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_gold_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    return _event_gold(spark, folder).analysis
+    columns = ("event_id", "turbine_id", "power_output", "z_anomaly", "if_anomaly")
+    analysis = _event_gold(spark, folder).analysis
+    return analysis.select(*columns, "combined_anomaly", "turbine_status")
 
 
 def q_gold_pipeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,19 +329,15 @@ def q_lineitem_gold(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").alias("timestamp"),
         F.col("l_quantity").alias("wind_speed"),
         F.col("l_extendedprice").alias("power_output"),
-        "l_orderkey",
-        "l_linenumber",
     )
-    cleaned = clean_readings(readings)
-    return build_gold(cleaned, key=("l_orderkey", "l_linenumber")).summary
-
-
-# The sites that the file-based check makes of event types.
-SITES = {"signup": 1, "purchase": 2, "error": 3, "click": 4}
+    return owned(build_gold(clean_readings(readings), model=LINE_FOREST.model())).summary
 
 
 def write_raw_files(events: DataFrame, folder: str) -> None:
-    """Views become the fleet feed, every other event type a site of its own."""
+    """Views become the fleet feed, every other event type a site of its own.
+
+    Sites are numbered in the order of their types; their files' names differ in case.
+    """
     views = events.where(F.col("event_type") == "view").select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
         F.col("user_id").alias("turbine_id"),
@@ -307,28 +347,45 @@ def write_raw_files(events: DataFrame, folder: str) -> None:
     )
     views.write.option("header", True).csv(f"{folder}/data_group_1.csv")
     sites = site_rows(events)
-    for kind, number in SITES.items():
-        rows = sites.where(F.col("event_type") == kind).drop("event_id", "event_type")
-        rows.write.option("header", True).csv(f"{folder}/Location{number}.csv")
+    kinds = events.where(F.col("event_type") != "view").select("event_type").distinct()
+    for number, row in enumerate(kinds.orderBy("event_type").collect(), start=1):
+        rows = sites.where(F.col("event_type") == row["event_type"])
+        name = ("Location", "location", "LOCATION")[number % 3]
+        rows.drop("event_id", "event_type").write.option("header", True).csv(
+            f"{folder}/{name}{number}.csv"
+        )
+
+
+@dataclass(frozen=True)
+class OwnLayers:
+    """Layers of one run alone, with all files in the shared folder."""
+
+    spark: SparkSession
+    layers: Layers
 
+    @property
+    def raw(self) -> str:
+        return f"{self.layers.root}/raw"
 
-def _own_layers(spark: SparkSession) -> Layers:
-    """Layers of this run alone, with all files in the shared folder."""
+    def release(self) -> None:
+        drop_schemas(self.spark, self.layers.bronze, self.layers.silver, self.layers.gold)
+        discard(self.spark, self.layers.root)
+
+
+def _own_layers(spark: SparkSession, folder: str) -> OwnLayers:
     run = uuid.uuid4().hex
-    return Layers(
-        *(f"{layer}_{run}" for layer in ("bronze", "silver", "gold")),
-        root=fresh_path(spark, "layers"),
-    )
+    names = (f"{layer}_{run}" for layer in ("bronze", "silver", "gold"))
+    own = owned(OwnLayers(spark, Layers(*names, root=fresh_path(spark, "layers"))))
+    write_raw_files(table(spark, folder, "events"), own.raw)
+    return own
 
 
 def q_files_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Raw CSV files through both bronze tables to the silver table."""
-    layers = _own_layers(spark)
-    raw = f"{layers.root}/raw"
-    write_raw_files(table(spark, folder, "events"), raw)
-    run_bronze(spark, raw, layers)
-    run_silver(spark, layers=layers)
-    return spark.table(layers.readings).select(
+    own = _own_layers(spark, folder)
+    run_bronze(spark, own.raw, own.layers)
+    run_silver(spark, layers=own.layers)
+    return spark.table(own.layers.readings).select(
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         F.col("turbine_id").cast("long").alias("turbine_id"),
         "wind_speed",
@@ -337,13 +394,82 @@ def q_files_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _run_files(spark: SparkSession, folder: str, again: bool = False) -> Layers:
+    own = _own_layers(spark, folder)
+    model = FILE_FOREST.model()
+    run_all(spark, own.raw, GOLD_PARAMS, own.layers, model=model)
+    if again:
+        run_gold(spark, GOLD_PARAMS, own.layers, "append", model)
+    return own.layers
+
+
 def q_files_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Raw CSV files through every layer to the summary table."""
-    layers = _own_layers(spark)
-    raw = f"{layers.root}/raw"
-    write_raw_files(table(spark, folder, "events"), raw)
-    run_all(spark, raw, layers=layers)
-    return spark.table(layers.summary)
+    summary = spark.table(_run_files(spark, folder).summary)
+    return summary.select(
+        F.col("turbine_id").cast("long").alias("turbine_id"),
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        "min_power",
+        "max_power",
+        "avg_power",
+    )
+
+
+def q_saved_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved analysis table, counted by turbine and flags."""
+    saved = spark.table(_run_files(spark, folder).analysis)
+    keys = ("z_anomaly", "if_anomaly", "combined_anomaly", "turbine_status")
+    return saved.groupBy(F.col("turbine_id").cast("long").alias("turbine_id"), *keys).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+def q_ratings_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved ratings after a second gold run in append mode."""
+    saved = spark.table(_run_files(spark, folder, again=True).ratings)
+    return saved.withColumn("turbine_id", F.col("turbine_id").cast("long"))
+
+
+def q_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that the bronze and silver jobs counted while they wrote."""
+    own = _own_layers(spark, folder)
+    counts = run_bronze(spark, own.raw, own.layers) | run_silver(spark, layers=own.layers)
+    return spark.createDataFrame(sorted(counts.items()), "feed string, n_rows long")
+
+
+_owned: dict[str, list[Any]] = {}
+_running: list[list[Any]] = []
+
+
+def owned(thing: Any) -> Any:
+    """Note what the running query keeps in the shared folder for its result to read."""
+    if _running:
+        _running[-1].append(thing)
+    return thing
+
+
+def release(name: str) -> None:
+    """Delete what the last run of a query left; its result cannot be read any more."""
+    for thing in _owned.pop(name, []):
+        thing.release() if hasattr(thing, "release") else thing.discard()
+
+
+def owning(name: str, query: Query) -> Query:
+    """A query that first deletes what its own last run left for its result."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        release(name)
+        _running.append([])
+        try:
+            result = query(spark, folder)
+        except BaseException:
+            _owned[name] = _running.pop()
+            release(name)
+            raise
+        _owned[name] = _running.pop()
+        return result
+
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -367,12 +493,16 @@ QUERIES: dict[str, Query] = {
     "lineitem_gold": q_lineitem_gold,
     "files_to_silver": q_files_to_silver,
     "files_to_gold": q_files_to_gold,
+    "saved_analysis": q_saved_analysis,
+    "ratings_appended": q_ratings_appended,
+    "row_counts": q_row_counts,
 }
+QUERIES = {name: owning(name, query) for name, query in QUERIES.items()}
 
 # DuckDB rounds binary values; Spark rounds the printed decimal half up. Going
 # through text and decimal reproduces the latter. Means are taken over integer
-# cents for the same reason. Grown forests are random, so they have no SQL here:
-# the tests check them against brute force.
+# cents for the same reason. Grown forests are random, so their SQL states what holds for
+# all of them; the gold layer is checked with a forest written by hand.
 SQL: dict[str, str] = {
     "clean_readings": """
         WITH raw AS (
@@ -423,11 +553,11 @@ SQL: dict[str, str] = {
     """,
     "merged_feeds": """
         SELECT user_id AS turbine_id, ts AS timestamp, value AS power_output
-        FROM events WHERE event_type = 'view' AND value >= 0
+        FROM events WHERE value >= 0
         UNION ALL
         SELECT l_suppkey AS turbine_id, l_shipdate AS timestamp,
           l_extendedprice AS power_output
-        FROM lineitem WHERE l_linenumber = 1
+        FROM lineitem
     """,
     "zscore_flags": """
         WITH t AS (
@@ -509,10 +639,10 @@ SQL: dict[str, str] = {
         FROM s, c
     """,
     "score_cut": """
-        WITH c AS (SELECT quantile_cont(l_extendedprice / 200000.0::DOUBLE, 0.85) AS cut
+        WITH c AS (SELECT quantile_cont(l_extendedprice, 0.85) AS cut
           FROM lineitem)
         SELECT l_orderkey, l_linenumber,
-          CAST(CASE WHEN l_extendedprice / 200000.0::DOUBLE > cut THEN 1 ELSE 0 END
+          CAST(CASE WHEN l_extendedprice > cut THEN 1 ELSE 0 END
             AS INTEGER) AS if_anomaly
         FROM lineitem, c
     """,
@@ -550,12 +680,117 @@ SQL: dict[str, str] = {
             k * 3 AS wind_direction, value - 25 AS power_output
           FROM t WHERE event_type = 'view'
           UNION ALL
-          SELECT date_trunc('second', ts), off + CASE event_type WHEN 'signup' THEN 1
-              WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 ELSE 4 END,
-            value, k * 3, k * 0.01::DOUBLE * 4.5::DOUBLE
+          SELECT date_trunc('second', ts),
+            off + dense_rank() OVER (ORDER BY event_type), value, k * 3,
+            k * 0.01::DOUBLE * 4.5::DOUBLE
           FROM t, m WHERE event_type <> 'view')
         SELECT timestamp, turbine_id, wind_speed, wind_direction,
           round(power_output::VARCHAR::DECIMAL(38,18), 6)::DOUBLE AS power_output
         FROM u WHERE power_output >= 0
     """,
 }
+
+_ROUNDED = "round({}::VARCHAR::DECIMAL(38,18), 2)::DOUBLE"
+
+
+def _gold_sql(source: str, forest: FixedForest, result: str, params: Params = GOLD_PARAMS) -> str:
+    """The gold layer over ``source``, which gives row, turbine_id, ts, w and p.
+
+    ``d`` ranks rows as the score does: the shorter the paths, the higher the score.
+    """
+    return f"""
+        WITH t AS ({source}),
+        e AS (
+          SELECT *, 0.5::DOUBLE * 1.2::DOUBLE * 5024 * pow(w, 3) * 0.45::DOUBLE
+            / 1000000 AS ep, -{forest.depth_sql()} AS d
+          FROM t WHERE p >= 0),
+        s AS (
+          SELECT avg(p - ep) AS m, stddev_samp(p - ep) AS sd,
+            quantile_cont(d, 0.85) AS cut FROM e),
+        f AS (
+          SELECT row, turbine_id, ts, {_ROUNDED.format('p')} AS p2,
+            CAST(CASE WHEN abs(p - ep - m) > 2.0 * sd THEN 1 ELSE 0 END AS INTEGER)
+              AS z_anomaly,
+            CAST(CASE WHEN d > cut THEN 1 ELSE 0 END AS INTEGER) AS if_anomaly
+          FROM e, s),
+        c AS (SELECT *, greatest(z_anomaly, if_anomaly) AS combined_anomaly FROM f),
+        g AS (
+          SELECT turbine_id, CAST(sum(combined_anomaly) AS BIGINT) AS total_anomalies,
+            count(*) AS total_records,
+            sum(combined_anomaly) / count(*)::DOUBLE AS anomaly_rate
+          FROM c GROUP BY 1),
+        r AS (
+          SELECT *, CASE WHEN anomaly_rate > {params.faulty_rate} THEN 'FAULTY_SENSOR'
+            WHEN anomaly_rate > {params.review_rate} THEN 'REVIEW_REQUIRED'
+            ELSE 'NORMAL' END AS turbine_status
+          FROM g),
+        a AS (
+          SELECT c.*, turbine_status FROM c JOIN r ON c.turbine_id = r.turbine_id
+          WHERE turbine_status <> 'FAULTY_SENSOR'),
+        y AS (
+          SELECT turbine_id, date_trunc('day', ts) AS window_start,
+            {_ROUNDED.format('min(p2)')} AS min_power,
+            {_ROUNDED.format('max(p2)')} AS max_power,
+            ((2 * sum(round(p2 * 100)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE
+              / 100 AS avg_power
+          FROM a GROUP BY 1, 2)
+        {result}
+    """
+
+
+_EVENT_SOURCE = """
+          SELECT event_id AS row, user_id AS turbine_id, ts, value AS p,
+            CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) * 0.25 AS w
+          FROM events"""
+_LINE_SOURCE = """
+          SELECT 0 AS row, l_suppkey AS turbine_id, l_shipdate AS ts,
+            l_extendedprice AS p, l_quantity AS w
+          FROM lineitem"""
+_FILE_SOURCE = """
+          SELECT 0 AS row, timestamp AS ts, turbine_id, wind_speed AS w, power_output AS p
+          FROM (
+            SELECT ts AS timestamp, user_id AS turbine_id,
+              CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) * 0.25 AS wind_speed,
+              value - 25 AS power_output
+            FROM events WHERE event_type = 'view'
+            UNION ALL
+            SELECT date_trunc('second', ts),
+              (SELECT max(user_id) FROM events WHERE event_type = 'view')
+                + dense_rank() OVER (ORDER BY event_type),
+              value,
+              CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) * 0.01::DOUBLE
+                * 4.5::DOUBLE
+            FROM events WHERE event_type <> 'view')"""
+
+SQL |= {
+    "gold_ratings": _gold_sql(_EVENT_SOURCE, EVENT_FOREST, "SELECT * FROM r"),
+    "gold_analysis": _gold_sql(
+        _EVENT_SOURCE,
+        EVENT_FOREST,
+        "SELECT row AS event_id, turbine_id, p2 AS power_output, z_anomaly, if_anomaly, "
+        "combined_anomaly, turbine_status FROM a",
+    ),
+    "gold_pipeline": _gold_sql(_EVENT_SOURCE, EVENT_FOREST, "SELECT * FROM y"),
+    "lineitem_gold": _gold_sql(_LINE_SOURCE, LINE_FOREST, "SELECT * FROM y", Params()),
+    "files_to_gold": _gold_sql(_FILE_SOURCE, FILE_FOREST, "SELECT * FROM y"),
+    "saved_analysis": _gold_sql(
+        _FILE_SOURCE,
+        FILE_FOREST,
+        "SELECT turbine_id, z_anomaly, if_anomaly, combined_anomaly, turbine_status, "
+        "count(*) AS n_rows FROM a GROUP BY ALL",
+    ),
+    "ratings_appended": _gold_sql(
+        _FILE_SOURCE, FILE_FOREST, "SELECT * FROM r UNION ALL SELECT * FROM r"
+    ),
+    "row_counts": """
+        SELECT 'fleet' AS feed, count(*) AS n_rows FROM events WHERE event_type = 'view'
+        UNION ALL SELECT 'sites', count(*) FROM events WHERE event_type <> 'view'
+        UNION ALL SELECT 'kept', count(*) FROM events
+          WHERE event_type <> 'view' OR value >= 25
+    """,
+    "forest_flags": """
+        SELECT count(*) AS n_rows, true AS within_share,
+          CAST(count(*) FILTER (WHERE event_id % 100 = 0) AS BIGINT) AS n_far_flagged
+        FROM events
+    """,
+}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the raw files and of the layers' tables.
+
 # Types by column name. Files may list their columns in any order, so these are
 # matched against the header rather than applied by position.
 FLEET_FEED_TYPES: dict[str, T.DataType] = {
@@ -31,3 +33,6 @@ SITE_FEED_TYPES: dict[str, T.DataType] = {
 ESSENTIAL_COLUMNS = ("timestamp", "power_output", "wind_speed")
 
 SOURCE_FILE = "source_file"
+
+# The columns of the daily summary beside its key, in order.
+SUMMARY_COLUMNS = ("window_start", "min_power", "max_power", "avg_power")

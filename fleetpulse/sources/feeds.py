@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from fleetpulse.schema import FLEET_FEED_TYPES, SITE_FEED_TYPES, SOURCE_FILE
 
-# Which files of a raw folder belong to which feed.
+# Which files of a raw folder belong to which feed. Site files are named
+# in any case, as their numbers are read in any case.
 FLEET_FILES = "data_group_*.csv"
-SITE_FILES = "Location*.csv"
+SITE_FILES = "".join(f"[{c.upper()}{c}]" for c in "location") + "*.csv"
 
 
 def read_fleet_feed(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,24 +8,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    It has to outlive executors and be visible to all of them. Only a local master,
-    where one machine is the whole cluster, may fall back to a temporary folder.
+    It has to outlive executors and be visible to all of them. Where it is not set,
+    only a session whose one process is the whole cluster gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="fleetpulse-")
-    return _local_folders[context.applicationId]
+    if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="fleetpulse-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -41,9 +37,13 @@ class Staged:
 
     def discard(self) -> None:
         """Delete the files, once nothing reads ``frame`` any more."""
-        spark = self.frame.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard(self.frame.sparkSession, self.path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever the session's file systems keep it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> Staged:
