@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Values are summed as decimals of this many places, so the order of the rows does not
-# matter. A finite value of 1e22 or more does not fit and raises.
+# matter. A finite value of 1e22 or more, or a mean of 9e16, does not fit and raises.
 PLACES = 8
 SUMMED = f"decimal(30,{PLACES})"
 

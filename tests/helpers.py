@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import os
 from contextlib import redirect_stdout
 
 
@@ -20,3 +21,9 @@ def final_plan(df) -> str:
 def rows(df, *columns):
     frame = df.select(*columns) if columns else df
     return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def shared_files(spark) -> set[str]:
+    """What is kept in the shared folder now."""
+    folder = spark.conf.get("spark.checkpoint.dir") + "/fleetpulse"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()

@@ -95,7 +95,7 @@ def test_site_ids_come_from_file_names(spark, tmp_path):
 @pytest.mark.parametrize(
     ("path", "number"),
     [
-        ("dbfs:/raw/Location2.csv", 2),
+        ("store:/raw/Location2.csv", 2),
         ("file:/raw/location3.csv", 3),
         ("/raw/LOCATION04.csv", 4),
         ("/raw/Location9/Location2.csv", 2),
@@ -112,6 +112,14 @@ def test_site_number(spark, path, number):
     assert rows(assign_site_ids(sites, nobody), "turbine_id") == [(number,)]
 
 
+def test_site_files_are_found_in_any_case(spark, tmp_path):
+    for name in ("Location1.csv", "location3.csv", "LOCATION5.csv", "other.csv"):
+        site(tmp_path, name)
+    nobody = spark.createDataFrame([], "turbine_id int")
+    numbered = assign_site_ids(read_site_feed(spark, str(tmp_path)), nobody)
+    assert rows(numbered.select("turbine_id").distinct()) == [(1,), (3,), (5,)]
+
+
 def test_site_feed_written_by_spark(spark, tmp_path):
     site(tmp_path, "Location1.csv")
     spark.read.option("header", True).csv(f"{tmp_path}/Location1.csv").repartition(

@@ -15,10 +15,10 @@ from fleetpulse.operators.forest import (
     flag_above_quantile,
     flag_outliers,
     outlier_score,
-    sample_pool,
+    sampled,
 )
 from fleetpulse.params import Params
-from tests.helpers import plan, rows
+from tests.helpers import plan, rows, shared_files
 from tests.test_trees import descend
 
 READINGS = "id long, wind_speed double, expected_power double, power_output double"
@@ -40,7 +40,7 @@ def flags(df):
 
 def test_planted_outliers_are_flagged_and_share_is_bounded(spark):
     far = range(0, 400, 40)
-    found = flags(flag_outliers(cloud(spark, far=far), FEW, key=("id",)))
+    found = flags(flag_outliers(cloud(spark, far=far), FEW, key=("id",)).frame)
     assert len(found) == 400
     assert all(found[place] == 1 for place in far)
     assert 0.10 * 400 < sum(found.values()) <= math.ceil(0.15 * 400)
@@ -48,15 +48,15 @@ def test_planted_outliers_are_flagged_and_share_is_bounded(spark):
 
 def test_contamination_is_a_parameter(spark):
     params = Params(trees=20, max_samples=64, contamination_rate=0.05)
-    found = flags(flag_outliers(cloud(spark), params, key=("id",)))
+    found = flags(flag_outliers(cloud(spark), params, key=("id",)).frame)
     assert 0 < sum(found.values()) <= 20
 
 
 def test_partitioning_and_row_order_change_nothing(spark):
     df = cloud(spark, far=(3, 77))
-    expected = flags(flag_outliers(df, FEW, key=("id",)))
+    expected = flags(flag_outliers(df, FEW, key=("id",)).frame)
     for copy in (df.repartition(7), df.orderBy(F.rand(5)).coalesce(2)):
-        assert flags(flag_outliers(copy, FEW, key=("id",))) == expected
+        assert flags(flag_outliers(copy, FEW, key=("id",)).frame) == expected
 
 
 def test_seed_changes_the_trees(spark):
@@ -104,7 +104,7 @@ def test_flags_equal_numpy_percentile(spark):
 def test_share_never_exceeds_contamination(spark, values, contamination):
     params = Params(trees=4, max_samples=16, contamination_rate=contamination)
     df = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], READINGS)
-    found = flags(flag_outliers(df, params, key=("id",)))
+    found = flags(flag_outliers(df, params, key=("id",)).frame)
     assert len(found) == len(values)
     assert sum(found.values()) <= math.ceil(contamination * len(values))
 
@@ -112,7 +112,7 @@ def test_share_never_exceeds_contamination(spark, values, contamination):
 @pytest.mark.parametrize("n", [0, 1, 2, 3])
 def test_few_rows(spark, n):
     df = cloud(spark).where(F.col("id") < n)
-    flagged = flag_outliers(df, FEW, key=("id",))
+    flagged = flag_outliers(df, FEW, key=("id",)).frame
     assert dict(flagged.dtypes)["if_anomaly"] == "int"
     assert flagged.columns == [*df.columns, "error", "if_anomaly"]
     assert set(flags(flagged).values()) <= {0, 1}
@@ -123,7 +123,7 @@ def test_equal_rows_are_not_flagged(spark):
     df = spark.range(50).selectExpr(
         "id", "1D AS wind_speed", "2D AS expected_power", "3D AS power_output"
     )
-    assert set(flags(flag_outliers(df, FEW, key=("id",))).values()) == {0}
+    assert set(flags(flag_outliers(df, FEW, key=("id",)).frame).values()) == {0}
 
 
 @pytest.mark.parametrize("bad", [float("inf"), float("nan"), None])
@@ -135,7 +135,7 @@ def test_unusable_features_are_refused(spark, bad):
 
 def test_powers_are_rounded_after_the_forest(spark):
     df = spark.createDataFrame([(1, 5.0, 1.006, 2.004), (2, 5.0, 1.0, 3.0)], READINGS)
-    flagged = flag_outliers(df, FEW, key=("id",))
+    flagged = flag_outliers(df, FEW, key=("id",)).frame
     assert rows(flagged, "id", "power_output", "expected_power", "error") == [
         (1, 2.0, 1.01, 0.99),
         (2, 3.0, 1.0, 2.0),
@@ -146,30 +146,68 @@ def numbered(spark, n):
     return spark.range(n).selectExpr("id", "CAST(id AS DOUBLE) AS x")
 
 
-def test_pool_holds_everything_when_small(spark):
-    pool = sample_pool(numbered(spark, 90), ("x",), ("id",), 100, 42)
-    assert sorted(pool[:, 0]) == list(range(90))
+def drawn(df, params, n):
+    frame = sampled(df, ("x",), ("id",), params, n)
+    return frame.toPandas()
 
 
-def test_pool_is_uniform(spark):
-    pool = sample_pool(numbered(spark, 200_000), ("x",), ("id",), 5_000, 42)
-    assert pool.shape == (5_000, 1)
-    assert len(np.unique(pool)) == 5_000
-    counts, _ = np.histogram(pool, bins=10, range=(0, 200_000))
-    assert np.abs(counts - 500).max() < 120  # 5.6 standard deviations
+def test_every_tree_sees_all_rows_of_a_small_table(spark):
+    found = drawn(numbered(spark, 90), Params(trees=7, max_samples=64), 90)
+    assert len(found) == 7 * 90
+    assert all(sorted(group.x) == list(range(90)) for _, group in found.groupby("tree"))
+    assert found.groupby("tree").place.nunique().min() == 90
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4])
-def test_copies_enter_the_pool_in_proportion(spark, seed):
+def test_sample_is_uniform_and_large_enough_for_every_tree(spark):
+    found = drawn(numbered(spark, 200_000), Params(trees=20, max_samples=256), 200_000)
+    sizes = found.groupby("tree").size()
+    assert len(sizes) == 20 and sizes.min() >= 256
+    expected = 20 * 512
+    assert abs(len(found) - expected) < 6 * math.sqrt(expected)
+    counts, _ = np.histogram(found.x, bins=10, range=(0, 200_000))
+    assert np.abs(counts - expected / 10).max() < 6 * math.sqrt(expected / 10)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("size", [16, 1024])
+def test_copies_enter_the_sample_in_proportion(spark, seed, size):
     """A third of the rows are one reading: neither absent nor all there is."""
-    df = numbered(spark, 120_000).selectExpr("IF(id % 3 = 0, -1, id) AS id", "x").withColumn(
-        "x", F.when(F.col("id") == -1, -1.0).otherwise(F.col("x"))
+    found = drawn(copies(spark, 120_000), Params(trees=20, max_samples=size, seed=seed), 120_000)
+    share = (found.x == -1.0).mean()
+    assert share == pytest.approx(1 / 3, abs=6 * math.sqrt(2 / 9 / len(found)))
+
+
+def copies(spark, n):
+    df = numbered(spark, n).selectExpr("IF(id % 3 = 0, -1, id) AS id", "x")
+    return df.withColumn("x", F.when(F.col("id") == -1, -1.0).otherwise(F.col("x")))
+
+
+def test_copies_do_not_make_flags_depend_on_partitions(spark):
+    df = copies(spark, 60_000).selectExpr(
+        "id",
+        "x % 25 AS wind_speed",
+        "x % 7 AS expected_power",
+        "x % 11 + x / 60000 AS power_output",
     )
-    for size in (3_000, 50_000, 70_000):
-        pool = sample_pool(df, ("x",), ("id",), size, seed)
-        assert len(pool) == size
-        share = (pool[:, 0] == -1.0).mean()
-        assert share == pytest.approx(1 / 3, abs=6 * math.sqrt(2 / 9 / size))
+    counts = []
+    for parts in (3, 7):
+        staged = flag_outliers(df.repartition(parts), FEW, key=("id",))
+        counts.append(rows(staged.frame.groupBy("id", "if_anomaly").count()))
+        staged.discard()
+    assert counts[0] == counts[1]
+    assert 0 < sum(n for _, flag, n in counts[0] if flag) <= 9_000
+
+
+def test_a_failing_cut_leaves_no_scores(spark, monkeypatch):
+    before = shared_files(spark)
+
+    def refuse(*_):
+        raise OSError("no ranks")
+
+    monkeypatch.setattr("fleetpulse.operators.forest.exact_quantile", refuse)
+    with pytest.raises(OSError, match="no ranks"):
+        flag_outliers(cloud(spark), FEW, key=("id",))
+    assert shared_files(spark) == before
 
 
 def test_scoring_moves_no_rows(spark, tmp_path):

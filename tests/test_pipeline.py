@@ -22,7 +22,7 @@ from fleetpulse.plans.pipeline import (
     run_silver,
 )
 from fleetpulse.sources.tables import drop_schemas
-from tests.helpers import plan, rows
+from tests.helpers import plan, rows, shared_files
 from tests.test_feeds import SITE_HEADER, write
 
 PARAMS = Params(trees=20, max_samples=64)
@@ -137,7 +137,7 @@ def gold_input(spark):
 def test_gold_equals_the_steps_one_by_one(spark):
     df = gold_input(spark)
     flagged = flag_zscore(with_expected_power(df, PARAMS), PARAMS)
-    stepwise = combine_flags(flag_outliers(flagged, PARAMS))
+    stepwise = combine_flags(flag_outliers(flagged, PARAMS).frame)
     ratings = rate_turbines(stepwise, PARAMS)
     analysis = drop_faulty(stepwise, ratings)
     gold = build_gold(df, PARAMS)
@@ -155,7 +155,8 @@ def test_gold_equals_the_steps_one_by_one(spark):
 def test_gold_layout_of_work(spark):
     gold = build_gold(gold_input(spark), PARAMS)
     analysis, summary = plan(gold.analysis), plan(gold.summary)
-    # Rows reach the analysis without a shuffle, and without running Python again.
+    # Rows reach the analysis without a shuffle, and without running Python again: only
+    # the few turbines that are not normal are joined.
     assert "hashpartitioning" not in analysis and "BroadcastHashJoin" in analysis
     assert "Python" not in analysis + summary
     # The summary reads three columns, shuffles aggregates once, then joins.
@@ -178,6 +179,36 @@ def test_staged_files_go_even_when_saving_fails(spark, layers, monkeypatch, tmp_
     assert set(os.listdir(before)) == kept
 
 
+@pytest.mark.parametrize("step", ["flag_above_quantile", "rate_turbines"])
+def test_a_failing_step_leaves_nothing(spark, monkeypatch, step):
+    before = shared_files(spark)
+
+    def refuse(*_, **__):
+        raise OSError("no more")
+
+    monkeypatch.setattr(f"fleetpulse.plans.pipeline.{step}", refuse)
+    with pytest.raises(OSError, match="no more"):
+        build_gold(gold_input(spark), PARAMS)
+    assert shared_files(spark) == before
+
+
+def test_hot_turbine_without_broadcast(spark):
+    """A third of the rows are one turbine's; the join sorts and still keeps them all."""
+    df = gold_input(spark).withColumn(
+        "turbine_id", F.expr("IF(second(timestamp) % 3 = 0, 100, turbine_id)")
+    )
+    gold = build_gold(df, PARAMS)
+    expected = rows(drop_faulty(gold.analysis.drop("turbine_status"), gold.ratings))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan(gold.analysis)
+        assert rows(gold.analysis) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    gold.release()
+
+
 def test_table_names():
     layers = Layers()
     assert layers.fleet_feed == "bronze_data.original_turbine_bronze"

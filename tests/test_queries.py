@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from fleetpulse.plans.queries import QUERIES, SQL
+from fleetpulse.plans.queries import QUERIES, SQL, release
+from tests.helpers import shared_files
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "lineitem", "supplier")
@@ -39,9 +40,21 @@ def test_equals_sql(spark, duck, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_runs_without_sql(spark, name):
-    assert QUERIES[name](spark, FOLDER).count() > 0
+@pytest.mark.parametrize("name", ["forest_flags", "gold_analysis", "row_counts"])
+def test_a_query_keeps_only_what_its_last_result_reads(spark, name):
+    release(name)
+    before, schemas = shared_files(spark), spark.sql("SHOW SCHEMAS").count()
+    kept = []
+    for _ in range(2):
+        assert QUERIES[name](spark, FOLDER).count() > 0
+        kept.append((len(shared_files(spark)), spark.sql("SHOW SCHEMAS").count()))
+    assert kept[0] == kept[1]
+    release(name)
+    assert (shared_files(spark), spark.sql("SHOW SCHEMAS").count()) == (before, schemas)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

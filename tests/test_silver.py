@@ -17,29 +17,30 @@ from fleetpulse.schema import ESSENTIAL_COLUMNS
 from fleetpulse.params import Params
 from tests.helpers import plan, rows
 
-READINGS = "timestamp string, power_output double, wind_speed double, turbine_id int"
+READINGS = "turbine_id int, wind_speed double, timestamp string, power_output double"
 NAN, INF = float("nan"), float("inf")
 
 
 def test_dirty_readings_are_dropped(spark):
     raw = spark.createDataFrame(
         [
-            ("2021-01-01 00:00:00", 10.0, 5.0, 1),
-            ("2021-01-01 00:01:00", -5.0, 3.0, 1),
-            ("2021-01-01 00:02:00", 15.0, None, 1),
-            ("2021-01-01 00:03:00", 20.0, 7.0, 1),
-            (None, 20.0, 7.0, 1),
-            ("2021-01-01 00:04:00", None, 7.0, 1),
+            (31, 11.5, "2019-08-04 03:10:00", 2.75),
+            (31, 0.25, "2019-08-04 03:20:00", -0.01),
+            (32, None, "2019-08-04 03:30:00", 1.5),
+            (32, 6.0, None, 0.625),
+            (33, 6.5, "2019-08-04 03:50:00", None),
+            (33, 9.0, "2019-08-04 04:00:00", 0.5),
         ],
         READINGS,
     )
-    assert rows(clean_readings(raw), "power_output") == [(10.0,), (20.0,)]
+    kept = rows(clean_readings(raw), "turbine_id", "power_output")
+    assert kept == [(31, 2.75), (33, 0.5)]
     assert clean_readings(raw).columns == raw.columns
 
 
 def test_special_values(spark):
     raw = spark.createDataFrame(
-        [("t", p, w, None) for p, w in [
+        [(None, w, "t", p) for p, w in [
             (NAN, 1.0), (-0.0, 2.0), (0.0, 3.0), (INF, 4.0), (-INF, 5.0), (1.0, NAN),
         ]],
         READINGS,
@@ -76,7 +77,7 @@ def test_cleaning_keeps_exactly_the_usable(spark, readings):
         r for r in readings
         if r[0] is not None and usable(r[1]) and usable(r[2]) and not r[1] < 0
     ]
-    raw = spark.createDataFrame([(*r, 1) for r in readings], READINGS)
+    raw = spark.createDataFrame([(1, w, t, p) for t, p, w in readings], READINGS)
     kept = rows(clean_readings(raw), "timestamp", "power_output", "wind_speed")
     assert kept == sorted(expected, key=repr)
     two_steps = void_negative_power(raw).dropna(subset=list(ESSENTIAL_COLUMNS))
@@ -85,15 +86,15 @@ def test_cleaning_keeps_exactly_the_usable(spark, readings):
 
 def test_site_feed_gets_the_common_layout(spark):
     raw = spark.createDataFrame(
-        [("2021-01-01 12:00:00", 0.5, 10.0, "45", "/Location1.csv", 3)],
-        "Time string, Power double, windspeed_100m double, winddirection_100m string,"
-        " source_file string, turbine_id int",
+        [(8, "/raw/location4.csv", "NNW", 13.75, 0.2, "2020-02-29 23:00:00")],
+        "turbine_id int, source_file string, winddirection_100m string,"
+        " windspeed_100m double, Power double, Time string",
     )
     feed = standardize_site_feed(raw)
     assert feed.columns == [
-        "wind_speed", "wind_direction", "turbine_id", "power_output", "timestamp",
+        "turbine_id", "wind_direction", "wind_speed", "power_output", "timestamp",
     ]
-    assert rows(feed) == [(10.0, "45", 3, 2.25, datetime(2021, 1, 1, 12))]
+    assert rows(feed) == [(8, "NNW", 13.75, 0.9, datetime(2020, 2, 29, 23))]
 
 
 def test_rated_power_is_a_parameter(spark):
@@ -125,18 +126,18 @@ def test_site_times(spark):
 
 
 def test_merge_matches_names_and_keeps_duplicates(spark):
-    fleet = spark.createDataFrame([("a", 10.0, 5.0, 1)] * 2, READINGS)
+    fleet = spark.createDataFrame([(7, 8.5, "noon", 1.125)] * 2, READINGS)
     sites = spark.createDataFrame(
-        [(2, 6.0, "b", 20.0), (2, 6.0, "c", -1.0)],
-        "turbine_id int, wind_speed double, timestamp string, power_output double",
+        [(0.375, "dusk", 3.25, 40), (-0.5, "dawn", 3.0, 40)],
+        "power_output double, timestamp string, wind_speed double, turbine_id int",
     )
     merged = merge_feeds(fleet, sites)
     assert merged.columns == fleet.columns
-    assert rows(merged) == [("a", 10.0, 5.0, 1)] * 2 + [("b", 20.0, 6.0, 2)]
+    assert rows(merged) == [(40, 3.25, "dusk", 0.375)] + [(7, 8.5, "noon", 1.125)] * 2
 
 
 def test_merge_refuses_unequal_columns(spark):
-    fleet = spark.createDataFrame([("a", 10.0, 5.0, 1)], READINGS)
+    fleet = spark.createDataFrame([(7, 8.5, "noon", 1.125)], READINGS)
     with pytest.raises(Exception, match="turbine_id|column"):
         merge_feeds(fleet, fleet.drop("turbine_id")).collect()
 
@@ -154,7 +155,7 @@ def test_merge_widens_numbers(spark):
 
 
 def test_cleaning_reaches_the_scan(spark, tmp_path):
-    spark.createDataFrame([("a", 10.0, 5.0, 1)], READINGS).write.parquet(
+    spark.createDataFrame([(1, 5.0, "a", 10.0)], READINGS).write.parquet(
         f"{tmp_path}/readings"
     )
     cleaned = clean_readings(spark.read.parquet(f"{tmp_path}/readings"))

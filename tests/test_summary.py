@@ -44,10 +44,10 @@ def test_one_row_per_turbine_and_day(spark):
 
 def test_text_timestamps_and_null_timestamps(spark):
     df = spark.createDataFrame(
-        [("2021-01-01 00:00:00", 10.0, 1), ("2021-01-01 00:30:00", 20.0, 1), (None, 9.0, 1)],
+        [("2023-06-30 23:59:59", 1.25, 4), ("2023-06-30 08:15:00", 0.75, 4), (None, 3.5, 4)],
         "timestamp string, power_output double, turbine_id int",
     )
-    assert rows(summarize_power(df)) == [(1, at(1), 10.0, 20.0, 15.0)]
+    assert rows(summarize_power(df)) == [(4, datetime(2023, 6, 30), 0.75, 1.25, 1.0)]
 
 
 def test_window_length_is_a_parameter(spark):
@@ -106,6 +106,7 @@ def test_mean_does_not_depend_on_row_order(spark):
         ([-0.5, 1.51], 0.51),
         ([4.4e7 + 0.01, 4.4e7 + 0.02], 4.4e7 + 0.02),
         ([4.6e7, 4.8e7], 4.7e7),
+        ([5e12, 1e12 + 0.01], 3e12 + 0.01),
         ([None, None], None),
     ],
 )
@@ -136,6 +137,22 @@ def test_many_large_values_do_not_overflow(spark):
     assert rows(summarize_power(df), "avg_power") == [(44000000.01,)]
 
 
+def test_one_large_value_changes_no_order(spark):
+    values = [5e7, *(1.0 + i / 100 for i in range(199))]
+    exact = sum(round(v * 100) for v in values) / 100 / len(values)
+    for seed in range(3):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame([(at(1), v, 1) for v in values], POWER)
+        mean = rows(summarize_power(df.repartition(seed + 2)), "avg_power")
+        assert mean == [(round(exact + 1e-9, 2),)]
+
+
+def test_values_beyond_the_range_raise(spark):
+    df = spark.createDataFrame([(at(1), 1e23, 1)], POWER)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range|cannot be represented"):
+        summarize_power(df).collect()
+
+
 def test_nan_gives_nan(spark):
     df = spark.createDataFrame([(at(1), float("nan"), 1), (at(1), 1.0, 1)], POWER)
     assert str(summarize_power(df).first()["avg_power"]) == "nan"

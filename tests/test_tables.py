@@ -85,9 +85,8 @@ def test_staged_rows_survive_their_source(spark):
 
 
 def test_a_cluster_must_name_its_shared_folder(monkeypatch):
-    class Conf:
-        def get(self, name, default):
-            return default
+    class Conf(dict):
+        set = dict.__setitem__
 
     class Context:
         master = "spark://host:7077"
@@ -97,6 +96,9 @@ def test_a_cluster_must_name_its_shared_folder(monkeypatch):
         conf = Conf()
         sparkContext = Context()
 
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
+    monkeypatch.setattr(Context, "master", "local-cluster[2,1,1024]")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_folder(Session())
     monkeypatch.setattr(Context, "master", "local[2]")
