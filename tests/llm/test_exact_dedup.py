@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from fleetpulse.llm.exact_dedup import DigestIndex, deduplicate, keep_new, op1_exact_dedup
+from fleetpulse.llm.shared import shared_path
+from tests.llm.helpers import digest, documents
+
+ROWS = [
+    (1, "same"), (2, "same"), (3, None), (4, ""), (5, "Same"), (None, "lone"), (None, "same"),
+    (6, "same "), (7, "x" * 200_000), (8, "x" * 200_000), (9, "twice"), (9, "twice"),
+]
+
+
+def index(spark, **options):
+    return DigestIndex(spark, shared_path(spark, "test-index"), **options)
+
+
+def expected(rows):
+    groups: dict[str, list] = {}
+    for doc_id, text in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    out = Counter()
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        best = max(known, default=None)
+        for i in ids:
+            out[(i, best, len(ids), digest(text.encode()))] += 1
+    return out
+
+
+def test_every_row_with_its_group(spark):
+    found = deduplicate(documents(spark, ROWS, clashing=True), index(spark)).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found) == expected(ROWS)
+    kept = Counter(r.text_sha256 for r in found if r.kept)
+    assert set(kept.values()) == {1} and len(kept) == len({t or "" for _, t in ROWS})
+    assert all(r.doc_id == r.keep_id for r in found if r.kept)
+
+
+def test_empty_table(spark):
+    assert deduplicate(documents(spark, []), index(spark)).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_later_batches_keep_only_new_texts(spark, buckets):
+    own = index(spark, buckets=buckets)
+    deduplicate(documents(spark, [(10, "a"), (11, "b")]), own).collect()
+    again = DigestIndex(spark, own.path, buckets)
+    found = deduplicate(documents(spark, [(12, "a"), (13, "c"), (10, "b")]), again).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in found) == [
+        (10, 11, False), (12, 10, False), (13, 13, True),
+    ]
+    assert again.table().count() == 3
+
+
+def test_index_is_joined_on_its_buckets(spark, capsys):
+    own = index(spark, buckets=4)
+    deduplicate(documents(spark, [(1, "a")]), own).collect()
+    tops = own.entries().groupBy("digest").count().repartition(4, "digest")
+    tops.join(own.table().select("digest").hint("merge"), "digest", "left_anti").explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_keep_new_carries_all_columns(spark):
+    docs = documents(spark, ROWS, clashing=True)
+    kept = keep_new(docs, index(spark))
+    assert kept.columns == docs.columns
+    found = sorted((r.text or "", r.doc_id) for r in kept.collect())
+    assert [t for t, _ in found] == sorted({t or "" for _, t in ROWS})
+    assert dict(found)["same"] == 2 and dict(found)["lone"] is None
+
+
+def test_query_does_not_depend_on_its_batches(spark, tmp_path):
+    documents(spark, ROWS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = op1_exact_dedup(spark, str(tmp_path)).collect()
+    got = Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found)
+    without_null = [r for r in ROWS if r[0] is not None]
+    assert got == expected(ROWS) and len(without_null) < len(ROWS)
