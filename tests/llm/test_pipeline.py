@@ -1,0 +1,103 @@
+"""The pipeline's stages against brute-force versions, each on its own input."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from fleetpulse.llm import quality
+from fleetpulse.llm.queries import QUERIES, SQL
+from tests.llm.helpers import (
+    FOLDER,
+    contaminated,
+    documents,
+    fingerprint,
+    near_components,
+)
+
+
+def good(spark, rows):
+    tables = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels"))
+    model = quality.fit(*tables)
+    sizer = quality.Sizer(model.good, model.bad)
+    score = lambda t: 1 / (1 + math.exp(-model.slope * sizer.difference(t) - model.offset))
+    return [(i, t) for i, t in rows if score(t) >= 0.5]
+
+
+def last_of_equal(rows):
+    best = {}
+    for doc_id, text in rows:
+        best[text] = max(best.get(text, -1), doc_id)
+    return [(i, t) for t, i in best.items()]
+
+
+def first_of_near(rows):
+    rows = sorted(rows)
+    roots = near_components([fingerprint(t) for _, t in rows])
+    return [row for k, row in enumerate(rows) if roots[k] == k]
+
+
+def clean(spark, rows):
+    benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
+    hits = contaminated(rows, [(r.item_id, r.text) for r in benchmark])
+    return [row for row, (_, n_hit, _, _) in zip(rows, hits) if not n_hit]
+
+
+def test_stages_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    versions = (
+        lambda r: good(spark, r),
+        last_of_equal,
+        first_of_near,
+        lambda r: clean(spark, r),
+    )
+    for (name, stage), version in zip(corpus_pipeline.STAGES, versions):
+        docs = corpus_pipeline.keep(stage(spark, docs, FOLDER), "test-stage")
+        assert docs.columns == columns, name
+        before, rows = len(rows), version(rows)
+        found = sorted((r.doc_id, r.text) for r in docs.collect())
+        assert found == sorted(rows), name
+        assert 0 < len(rows) < before, name
+    pieces = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {r.doc_id for r in pieces} == {i for i, _ in rows}
+    assert max(r.offset + r.length for r in pieces) <= 2048
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_stages_take_odd_tables(spark, clashing):
+    odd = [(1, None), (1, None), (None, "x"), (2, ""), (3, "word " * 4000), (3, "word " * 4000)]
+    for rows in (odd, []):
+        docs = documents(spark, rows, clashing)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, docs, FOLDER)
+            assert kept.columns == docs.columns
+            docs = corpus_pipeline.keep(kept, "odd-stage")
+        corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+
+
+def test_everything_is_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    from collections import Counter
+
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    frame = QUERIES[name](spark, FOLDER)
+    columns = sorted(frame.columns)
+    result = duck.execute(SQL[name])
+    order = [c[0] for c in result.description]
+    place = [order.index(c) for c in columns]
+    theirs = Counter(tuple(row[i] for i in place) for row in result.fetchall())
+    assert Counter(map(tuple, frame.select(columns).collect())) == theirs
