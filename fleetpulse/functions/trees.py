@@ -181,17 +181,16 @@ class PathLengths:
         return total / self.count
 
 
-class SharedForest:
-    """A forest as it is broadcast: a worker builds its tables once for all its tasks."""
+def worker_tables(name: str, trees: Sequence[tuple], width: int) -> PathLengths:
+    """The forest's tables, built once by a Python worker for all its tasks.
 
-    def __init__(self, trees: Sequence[Tree], width: int) -> None:
-        self.trees, self.width = [tuple(tree) for tree in trees], width
-        self.lengths: PathLengths | None = None
-
-    def path_lengths(self) -> PathLengths:
-        if self.lengths is None:
-            self.lengths = PathLengths([Tree(*t) for t in self.trees], self.width)
-        return self.lengths
+    This module comes anew with every task, so the last forest is kept beside it.
+    """
+    kept = vars(sys).setdefault("_forest_tables", {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = PathLengths([Tree(*arrays) for arrays in trees], width)
+    return kept[name]
 
 
 def draw_slots(seed: int, code: int, slots: int, share: float) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -14,12 +15,12 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions.trees import (
     TABLE_BUDGET,
-    SharedForest,
     Tree,
     draw_slots,
     grow_tree,
     mean_path,
     tabulate,
+    worker_tables,
 )
 from fleetpulse.operators.power import round_power
 from fleetpulse.operators.quantile import exact_quantile
@@ -154,11 +155,12 @@ def outlier_score(df: DataFrame, model: ForestModel, column: str = "score") -> D
     if scale == 0.0:  # at most one row was seen: every row is as odd as any other
         return df.withColumn(column, F.lit(0.5))
     width = len(model.features)
-    shared = df.sparkSession.sparkContext.broadcast(SharedForest(model.trees, width))
+    name = uuid.uuid4().hex
+    shared = df.sparkSession.sparkContext.broadcast([tuple(t) for t in model.trees])
 
     @F.pandas_udf("double")
     def path_length(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        measure = shared.value.path_lengths()
+        measure = worker_tables(name, shared.value, width)
         for batch in batches:
             yield pd.Series(measure([series.to_numpy(float) for series in batch]))
 

@@ -15,13 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
     It has to outlive executors and be visible to all of them. Where it is not set,
     only a session whose one process is the whole cluster gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="fleetpulse-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="fleetpulse-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -216,3 +219,22 @@ def test_scoring_moves_no_rows(spark, tmp_path):
     text = plan(outlier_score(df, fit_forest(df, FEW, key=("id",))))
     assert "ArrowEvalPython" in text
     assert "Exchange" not in text and "Join" not in text
+
+
+def test_executors_need_no_package(tmp_path):
+    """A session started elsewhere grows and scores without the package on its path."""
+    code = (
+        f"import sys; sys.path.insert(0, {os.getcwd()!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = (SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')\n"
+        "  .config('spark.sql.shuffle.partitions', '2').getOrCreate())\n"
+        "from fleetpulse.operators.forest import flag_outliers\n"
+        "df = spark.range(60).selectExpr('id', 'id % 7D AS wind_speed', '1D AS expected_power',\n"
+        "  'id % 11D AS power_output')\n"
+        "print('rows', flag_outliers(df, key=('id',)).frame.count())\n"
+    )
+    path = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=path, capture_output=True, text=True
+    )
+    assert "rows 60" in done.stdout, done.stderr[-2000:]

@@ -85,15 +85,17 @@ def test_staged_rows_survive_their_source(spark):
 
 
 def test_a_cluster_must_name_its_shared_folder(monkeypatch):
-    class Conf(dict):
-        set = dict.__setitem__
+    folders = []
 
     class Context:
         master = "spark://host:7077"
-        applicationId = "app-1"
+        setCheckpointDir = folders.append
+
+        def getCheckpointDir(self):
+            return folders[0] if folders else None
 
     class Session:
-        conf = Conf()
+        conf = {}
         sparkContext = Context()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
