@@ -43,12 +43,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
     Where the setting is missing (a test on one machine) it is set to a new folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
