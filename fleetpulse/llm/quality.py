@@ -5,9 +5,9 @@ documents. A text is cut into chunks, each compressed with either dictionary alo
 difference of the two sums over the text's bytes tells which of the two it is like. A
 logistic fit on other labelled rows turns the difference into a probability.
 
-The fit uses at most ``PER_CLASS`` labelled rows of each class, the lowest by a hash of
-the id among those of at most ``FIT_BYTES`` bytes, half for the dictionaries and half
-for the calibration. Scoring covers every whole text.
+The fit uses at most ``PER_CLASS`` labelled ids of each class, the lowest by a hash of
+the id, as far as their texts have at most ``FIT_BYTES`` bytes, half for the
+dictionaries and half for the calibration. Scoring covers every whole text.
 
 Defined cases: a NULL text is the empty text, whose difference is 0; a NULL id is not
 held out and never trains; labels that are NULL or no 0 or 1 are passed over; without
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.shared import by_value, table, whole_text
+from fleetpulse.llm.shared import by_value, keep, table, whole_text
 
 by_value(__name__)
 
@@ -104,16 +104,22 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bounded sample to fit on: ``text`` and ``quality``."""
+    """The bounded sample to fit on: ``text`` and ``quality``, one row per chosen id.
+
+    Ids are chosen from the labels alone; only then are their texts fetched, by a join
+    with a kept table of a fixed size, so no other text moves.
+    """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.where(~held_out()).select("doc_id", "quality").distinct()
-    texts = docs.select("doc_id", whole_text().alias("text")).where(
-        F.octet_length("text") <= FIT_BYTES
+    known = known.where(~held_out()).select(F.col("doc_id").alias("id"), "quality").distinct()
+    good, bad = (
+        known.where(F.col("quality") == q).orderBy(F.xxhash64("id"), "id").limit(PER_CLASS)
+        for q in (1, 0)
     )
-    rows = texts.join(known, "doc_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    good, bad = (rows.where(F.col("quality") == q).orderBy(*order).limit(PER_CLASS) for q in (1, 0))
-    return good.unionByName(bad)
+    chosen = keep(good.unionByName(bad), "chosen-labels")
+    texts = docs.select(F.col("doc_id").alias("id"), whole_text().alias("text"))
+    rows = texts.where(F.octet_length("text") <= FIT_BYTES).join(chosen, "id")
+    one_each = rows.groupBy("id", "quality").agg(F.min("text").alias("text"))
+    return one_each.orderBy(F.xxhash64("id"), "id").select("text", "quality")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
