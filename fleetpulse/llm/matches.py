@@ -23,6 +23,8 @@ by_value(__name__)
 U64 = np.uint64
 PACKET = "bucket INT, part INT, data BINARY"
 ANSWER = "part INT, data BINARY"
+# An anchor that more parts hold than this is told apart as crowded.
+CROWD = 64
 
 
 def distinct_texts(
@@ -114,11 +116,14 @@ def by_part(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part), np.flatnonzero(parts == part)
 
 
-def live_anchors(texts: DataFrame, anchors: Callable[[bytes, int], np.ndarray]) -> DataFrame:
+def live_anchors(
+    texts: DataFrame, anchors: Callable[[bytes, int], np.ndarray], crowd: int = CROWD
+) -> DataFrame:
     """For each part (``part``, ``data``) its anchor hashes that occur more than once.
 
-    ``anchors`` gives the hashes of a text, which is there in so many copies. The last bit is spent on telling whether a hash
-    occurs more than once in its part already.
+    ``anchors`` gives the hashes of a text, which is there in so many copies. The last
+    bit is spent: on the way out it tells whether a hash occurs more than once in its
+    part already, on the way back whether it is crowded (0) or not (1).
     """
     buckets = partitions(texts.sparkSession)
 
@@ -143,8 +148,12 @@ def live_anchors(texts: DataFrame, anchors: Callable[[bytes, int], np.ndarray])
         again[1:] = bare[1:] == bare[:-1]
         live = again | (keys & U64(1)).astype(bool)
         live[:-1] |= again[1:]
+        first = np.flatnonzero(~again)
+        size = np.diff(np.append(first, len(keys)))
+        holders = np.repeat(size, size)
+        told = np.where(holders > crowd, bare ^ U64(1), bare)
         back = np.argsort(owner[live], kind="stable")
-        keys, owner = bare[live][back], owner[live][back]
+        keys, owner = told[live][back], owner[live][back]
         cuts = np.searchsorted(owner, np.arange(len(each) + 1))
         rows = [
             (int(parts[i]), keys[cuts[i] : cuts[i + 1]].tobytes())
@@ -160,7 +169,14 @@ def live_anchors(texts: DataFrame, anchors: Callable[[bytes, int], np.ndarray])
 def joined_answers(answers: pa.Table) -> np.ndarray:
     """A part's live anchor hashes, sorted, last bit set."""
     each = [np.frombuffer(x.as_py(), U64) for x in answers.column("data")]
-    return np.sort(np.concatenate(each)) if each else np.zeros(0, U64)
+    return np.sort(np.concatenate([np.zeros(0, U64), *each]) | U64(1))
+
+
+def crowded_answers(answers: pa.Table) -> np.ndarray:
+    """Those among a part's live anchor hashes that are crowded, in the same form."""
+    each = [np.frombuffer(x.as_py(), U64) for x in answers.column("data")]
+    keys = np.concatenate([np.zeros(0, U64), *each])
+    return np.sort(keys[keys & U64(1) == 0] | U64(1))
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -7,6 +7,11 @@ minimizer in common, with the bytes their prefixes reach and the byte before. On
 contexts whose minimizer occurs elsewhere move, each distinct one once per part, with
 its number.
 
+A passage that very many parts hold has a context of its own wherever it stands in other
+surroundings. Where a minimizer is so *crowded*, each start is sent as a context without
+surroundings, of which a part has few different ones, and dealt out by its bytes: no
+bucket gathers what grows with the number of occurrences.
+
 A bucket builds an enhanced suffix array over its contexts: the starts in the order of
 their suffixes, the common prefix of each with the one before, and the byte to its left.
 A stack scan over the common prefixes finds the intervals of the tree; an interval whose
@@ -31,10 +36,12 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.matches import (
     ANSWER,
+    CROWD,
     U64,
     among,
     as_batch,
     covered,
+    crowded_answers,
     distinct_texts,
     joined_answers,
     live_anchors,
@@ -53,7 +60,9 @@ BASE = 0x9E3779B97F4A7C15
 PLACE_BITS = 24
 STRIP = 1 << 22
 # A bucket's contexts are compared in portions of whole minimizers of about this size.
-PORTION = 4 << 20
+PORTION = 1 << 20
+# Bytes of contexts whose prefixes are hashed at a time.
+SLICE = 1 << 20
 
 CONTEXT = (
     "bucket INT, part INT, number INT, gram BIGINT, lead INT, starts INT, left INT, "
@@ -103,31 +112,43 @@ def minimizers(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return first, place, hashes
 
 
-def contexts_of(text: bytes, length: int, known: np.ndarray) -> list[tuple]:
+Live = tuple[np.ndarray, np.ndarray]  # live minimizers, and the crowded ones among them
+
+
+def told(answers: pa.Table) -> Live:
+    return joined_answers(answers), crowded_answers(answers)
+
+
+def contexts_of(text: bytes, length: int, live: Live) -> list[tuple]:
     """Contexts with a live minimizer: first start, starts, gram, lead, left, bytes.
 
     ``lead`` is the minimizer's distance from the first start; ``left`` the byte before
-    it, or -1 at the text's start.
+    it, or -1 at the text's start. Where a minimizer is crowded every start is a context
+    of its own, without a byte to spare.
     """
+    known, crowded = live
     first, place, hashes = minimizers(text, length)
     ends = np.append(first[1:], len(text) - length + 1)
     found = []
+    single = among(hashes | U64(1), crowded)
     for i in np.flatnonzero(among(hashes | U64(1), known)):
-        low, high = int(first[i]), int(ends[i])
-        left = text[low - 1] if low else -1
-        context = text[low : high - 1 + length]
-        found.append((low, high - low, int(hashes[i]), int(place[i]) - low, left, context))
+        first_start, end = int(first[i]), int(ends[i])
+        step = 1 if single[i] else end - first_start
+        for low in range(first_start, end, step):
+            left = text[low - 1] if low else -1
+            context = text[low : low + step - 1 + length]
+            found.append((low, step, int(hashes[i]), int(place[i]) - low, left, context))
     return found
 
 
-def numbered(texts: pa.Table, known: np.ndarray, length: int):
+def numbered(texts: pa.Table, live: Live, length: int):
     """A part's texts in one order, its distinct contexts as numbered, and who has them."""
     text_rows = sorted(texts.to_pylist(), key=lambda row: row["digest"])
     contexts: dict[tuple, list[int]] = {}
     holders: list[list[tuple[int, int]]] = []
     for row in text_rows:
         own = []
-        for low, starts, gram, lead, left, data in contexts_of(row["text"], length, known):
+        for low, starts, gram, lead, left, data in contexts_of(row["text"], length, live):
             entry = contexts.setdefault((gram, lead, starts, left, data), [len(contexts), 0])
             # A text with copies is in the table as often: two stand for any number.
             entry[1] += min(row["copies"], 2)
@@ -162,7 +183,7 @@ def mark(texts: DataFrame, live: DataFrame, length: int) -> DataFrame:
     return chosen.groupBy("part").cogroup(live.groupBy("part")).applyInArrow(run, MARKED)
 
 
-def prepared(docs: DataFrame, length: int, **columns: str):
+def prepared(docs: DataFrame, length: int, crowd: int = CROWD, **columns: str):
     """All rows, the marked texts (kept) and the live minimizers (kept)."""
     rows, texts = distinct_texts(docs, **columns)
 
@@ -170,7 +191,7 @@ def prepared(docs: DataFrame, length: int, **columns: str):
         hashes = minimizers(text, length)[2]
         return np.concatenate([hashes, hashes]) if copies > 1 else hashes
 
-    live = keep(live_anchors(texts, anchors), "live")
+    live = keep(live_anchors(texts, anchors, crowd), "live")
     return rows, keep(mark(texts, live, length), "marked"), live
 
 
@@ -180,11 +201,15 @@ def send_contexts(marked: DataFrame, live: DataFrame, length: int) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.Table.from_batches([as_batch([], CONTEXT)])
-        _, contexts, _ = numbered(left, joined_answers(right), length)
+        from xxhash import xxh64_intdigest
+
+        live_here = told(right)
+        crowded = set(live_here[1].tolist())
+        _, contexts, _ = numbered(left, live_here, length)
         part = left.column("part")[0].as_py()
         out = [
             (
-                (gram * buckets) >> 64,
+                ((xxh64_intdigest(data) if gram | 1 in crowded else gram) * buckets) >> 64,
                 part,
                 number,
                 gram - (1 << 64) if gram >> 63 else gram,
@@ -231,36 +256,57 @@ class SuffixArray:
         self, data: list[bytes], lead: np.ndarray, starts: np.ndarray, left: np.ndarray, length: int
     ):
         sizes = np.array([len(x) for x in data], np.int64)
-        base = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        text = np.frombuffer(b"".join(data), np.uint8)
-        values = mixed(np.arange(1, 257, dtype=U64))[text]
-        prefix = window_hashes(values, length, BASE)
-        context = np.repeat(np.arange(len(data)), starts)
-        offset = np.arange(len(context)) - np.repeat(np.cumsum(starts) - starts, starts)
-        place = base[context] + offset
+        base = np.cumsum(sizes) - sizes
+        before = np.cumsum(starts) - starts
+        prefix = self._prefixes(data, starts, length)
+        # Only starts whose prefix occurs again are told apart any further.
+        order = np.argsort(prefix, kind="stable")
+        same = prefix[order[1:]] == prefix[order[:-1]]
+        again = np.zeros(len(order), bool)
+        again[1:] = same
+        again[:-1] |= same
+        chosen = order[again]
+        context = np.searchsorted(before, chosen, "right") - 1
+        prefix = prefix[chosen]
         # Within a class all suffixes agree up to their minimizer, so what follows it
         # gives their order: contexts are sorted by that once.
         tails = [x[at:] for x, at in zip(data, lead.tolist(), strict=True)]
         rank = np.empty(len(data), np.int64)
         rank[sorted(range(len(data)), key=tails.__getitem__)] = np.arange(len(data))
-        order = np.lexsort((rank[context], prefix[place]))
-        context, offset, place = context[order], offset[order], place[order]
-        same = prefix[place[1:]] == prefix[place[:-1]] if len(place) else np.zeros(0, bool)
-        again = np.zeros(len(place), bool)
-        again[1:] = same
-        again[:-1] |= same
-        same = np.concatenate([[False], same])[again]
-        self.context, self.offset, place = context[again], offset[again], place[again]
+        order = np.lexsort((rank[context], prefix))
+        self.context, prefix = context[order], prefix[order]
+        self.offset = chosen[order] - before[self.context]
+        place = base[self.context] + self.offset
+        same = np.zeros(len(place), bool)
+        same[1:] = prefix[1:] == prefix[:-1]
+        text = np.frombuffer(b"".join(data), np.uint8)
         ends = base[self.context] + sizes[self.context]
         self.left = np.where(
             self.offset > 0, text[np.maximum(place - 1, 0)].astype(np.int64), left[self.context]
         )
         self.length = length
-        self.reach = ends - place
-        self.common = np.zeros(len(place), np.int64)
+        self.common = np.zeros(len(place), np.int32)
         pairs = np.flatnonzero(same)
         self.common[pairs] = self._common(text, place, ends, pairs)
 
+    @staticmethod
+    def _prefixes(data: list[bytes], starts: np.ndarray, length: int) -> np.ndarray:
+        """A hash of the first ``length`` bytes at every start, a slice at a time."""
+        table = mixed(np.arange(1, 257, dtype=U64))
+        found, low = [np.zeros(0, U64)], 0
+        while low < len(data):
+            high, size = low, 0
+            while high < len(data) and (high == low or size < SLICE):
+                size += len(data[high])
+                high += 1
+            own = starts[low:high]
+            base = np.cumsum([0, *map(len, data[low : high - 1])])
+            place = np.repeat(base - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            values = table[np.frombuffer(b"".join(data[low:high]), np.uint8)]
+            found.append(window_hashes(values, length, BASE)[place])
+            low = high
+        return np.concatenate(found)
+
     def _common(self, text, place, ends, pairs) -> np.ndarray:
         limit = np.minimum(ends[pairs] - place[pairs], ends[pairs - 1] - place[pairs - 1])
         common = np.full(len(pairs), self.length, np.int64)
@@ -287,21 +333,20 @@ class SuffixArray:
             if now and (not stack or stack[-1][0] < now):
                 stack.append((now, first))
 
-    def groups(self) -> list[tuple[int, int, int]]:
+    def groups(self) -> Iterator[tuple[int, int, int]]:
         """The intervals with more than one left extension, or at their context's edge."""
         change = np.concatenate([[0], np.cumsum(self.left[1:] != self.left[:-1])])
         edge = np.concatenate([[0], np.cumsum((self.offset == 0) | (self.left < 0))])
-        return [
-            (depth, first, last)
-            for depth, first, last in self.intervals()
-            if change[last] > change[first] or edge[last + 1] > edge[first]
-        ]
+        for depth, first, last in self.intervals():
+            if change[last] > change[first] or edge[last + 1] > edge[first]:
+                yield depth, first, last
 
     def longest(self) -> np.ndarray:
         """For each start the length of the longest group it occurs in, or 0."""
-        longest = np.zeros(len(self.context), np.int64)
-        for depth, first, last in sorted(self.groups()):
-            longest[first : last + 1] = depth
+        longest = np.zeros(len(self.context), np.int32)
+        for depth, first, last in self.groups():  # inner ones first
+            own = longest[first : last + 1]
+            own[own == 0] = depth
         return longest
 
 
@@ -364,13 +409,15 @@ def occurrences(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.groupBy("bucket").applyInArrow(run, ANSWER)
 
 
-def repeat_groups(docs: DataFrame, length: int = LENGTH, **columns: str) -> DataFrame:
+def repeat_groups(
+    docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, **columns: str
+) -> DataFrame:
     """The maximal repeat groups and all their occurrences among distinct texts.
 
     ``group_id``, ``length``, ``text_sha256`` and ``start``: one row per occurrence. An
     interval's occurrences also are those of the intervals around it, as the tree has it.
     """
-    _, marked, live = prepared(docs, length, **columns)
+    _, marked, live = prepared(docs, length, crowd, **columns)
     contexts = keep(send_contexts(marked, live, length), "contexts")
 
     def list_groups(group: pa.Table) -> pa.Table:
@@ -390,7 +437,7 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, **columns: str) -> Data
         return pa.Table.from_batches([as_batch(rows, LISTED)])
 
     def list_holders(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, _, holders = numbered(left, joined_answers(right), length)
+        rows, _, holders = numbered(left, told(right), length)
         out = [
             (row["part"], number, row["digest"], low)
             for row, own in zip(rows, holders, strict=True)
@@ -419,21 +466,21 @@ def remove(marked: DataFrame, live: DataFrame, found: DataFrame, length: int) ->
         from hashlib import sha256
 
         kind = right.column("kind").to_numpy()
-        known = joined_answers(right.filter(pa.array(kind == 0)))
-        told = [np.zeros((0, 3), np.int32)] + [
+        minimizers_told = told(right.filter(pa.array(kind == 0)))
+        found = [np.zeros((0, 3), np.int32)] + [
             np.frombuffer(x.as_py(), np.int32).reshape(-1, 3)
             for x in right.filter(pa.array(kind == 1)).column("data")
         ]
-        told = np.concatenate(told)
-        told = told[np.argsort(told[:, 0], kind="stable")]
-        text_rows, contexts, holders = numbered(left, known, length)
-        cuts = np.searchsorted(told[:, 0], np.arange(len(contexts) + 1))
+        hits_of = np.concatenate(found)
+        hits_of = hits_of[np.argsort(hits_of[:, 0], kind="stable")]
+        text_rows, contexts, holders = numbered(left, minimizers_told, length)
+        cuts = np.searchsorted(hits_of[:, 0], np.arange(len(contexts) + 1))
         out = []
         for row, own in zip(text_rows, holders, strict=True):
             text, removed, spans = row["text"], 0, 0
             kept = text
             if own:
-                hits = [told[cuts[number] : cuts[number + 1]] for _, number in own]
+                hits = [hits_of[cuts[number] : cuts[number + 1]] for _, number in own]
                 at = np.concatenate([x[:, 1] + low for x, (low, _) in zip(hits, own, strict=True)])
                 lost = covered(at, np.concatenate([x[:, 2] for x in hits]), len(text))
                 removed = int(lost.sum())
@@ -446,9 +493,11 @@ def remove(marked: DataFrame, live: DataFrame, found: DataFrame, length: int) ->
     return ours.applyInArrow(run, RESULT)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, **columns: str) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, **columns: str
+) -> DataFrame:
     """One row per given row: what its text loses and the digest of what it keeps."""
-    rows, marked, live = prepared(docs, length, **columns)
+    rows, marked, live = prepared(docs, length, crowd, **columns)
     found = keep(occurrences(send_contexts(marked, live, length), length), "occurrences")
     zero = F.lit(0).cast("long")
     same = marked.where("text IS NULL").select(

@@ -22,10 +22,10 @@ def odd_rows():
     return rows + [(30 + i, f"{filler(i)} {PASSAGE[i : 700 + i]} {filler(20)}") for i in range(12)]
 
 
-@pytest.mark.parametrize("clashing", [False, True])
-def test_bytes_removed_equal_brute_force(spark, clashing):
+@pytest.mark.parametrize(("clashing", "crowd"), [(False, 64), (True, 0), (False, 1)])
+def test_bytes_removed_equal_brute_force(spark, clashing, crowd):
     rows = odd_rows()
-    found = repeats.remove_repeats(documents(spark, rows, clashing)).collect()
+    found = repeats.remove_repeats(documents(spark, rows, clashing), crowd=crowd).collect()
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
     assert got == sorted((i or 0, *x) for (i, _), x in zip(rows, byte_repeats(rows, 200)))
 
