@@ -63,6 +63,8 @@ STRIP = 1 << 22
 PORTION = 1 << 20
 # Bytes of contexts whose prefixes are hashed at a time.
 SLICE = 1 << 20
+# Starts that are put in order at a time, by whole classes of one prefix.
+STARTS = 1 << 18
 
 CONTEXT = (
     "bucket INT, part INT, number INT, gram BIGINT, lead INT, starts INT, left INT, "
@@ -243,43 +245,79 @@ def portions(group: pa.Table) -> Iterator[pa.Table]:
         yield group.take(pa.array(order[portion == number]))
 
 
+def prefix_hashes(data: list[bytes], starts: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the first ``length`` bytes at every start, a slice at a time."""
+    table = mixed(np.arange(1, 257, dtype=U64))
+    found, low = [np.zeros(0, U64)], 0
+    while low < len(data):
+        high, size = low, 0
+        while high < len(data) and (high == low or size < SLICE):
+            size += len(data[high])
+            high += 1
+        own = starts[low:high]
+        base = np.cumsum([0, *map(len, data[low : high - 1])])
+        place = np.repeat(base - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        values = table[np.frombuffer(b"".join(data[low:high]), np.uint8)]
+        found.append(window_hashes(values, length, BASE)[place])
+        low = high
+    return np.concatenate(found)
+
+
+def suffix_arrays(
+    data: list[bytes],
+    lead: np.ndarray,
+    starts: np.ndarray,
+    left: np.ndarray,
+    length: int,
+    most: int = STARTS,
+) -> Iterator[SuffixArray]:
+    """The suffix array of all contexts, in parts of whole classes.
+
+    A class is the starts with one prefix of ``length`` bytes; starts of different
+    classes are never compared, and starts alone in their class are left out. A part
+    has about ``most`` starts, or one larger class.
+    """
+    prefix = prefix_hashes(data, starts, length)
+    order = np.argsort(prefix, kind="stable")
+    same = prefix[order[1:]] == prefix[order[:-1]]
+    again = np.zeros(len(order), bool)
+    again[1:] = same
+    again[:-1] |= same
+    chosen = order[again]
+    prefix = prefix[chosen]
+    del order, same, again
+    # Within a class all suffixes agree up to their minimizer, so what follows it gives
+    # their order: contexts are sorted by that once.
+    tails = [x[at:] for x, at in zip(data, lead.tolist(), strict=True)]
+    rank = np.empty(len(data), np.int64)
+    rank[sorted(range(len(data)), key=tails.__getitem__)] = np.arange(len(data))
+    del tails
+    sizes = np.array([len(x) for x in data], np.int64)
+    text = np.frombuffer(b"".join(data), np.uint8)
+    first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]])[: len(prefix)])
+    cuts = first[np.flatnonzero(np.diff(first // most, prepend=-1))]
+    for low, high in zip(cuts, [*cuts[1:], len(prefix)], strict=True):
+        own = slice(low, high)
+        yield SuffixArray(chosen[own], prefix[own], starts, sizes, rank, text, left, length)
+
+
 class SuffixArray:
-    """The starts of all contexts whose first ``length`` bytes occur again.
+    """Starts that share a prefix of ``length`` bytes with another, class by class.
 
-    ``context`` and ``offset`` name each start; starts with a common prefix of
-    ``length`` stand together, in the order of their suffixes; ``common`` is the common
-    prefix with the start before (0 where a new such class begins); ``left`` the byte
-    before the start, -1 for none.
+    ``context`` and ``offset`` name each start; those of a class stand together, in the
+    order of their suffixes; ``common`` is the common prefix with the start before (0
+    where a new class begins); ``left`` the byte before the start, -1 for none.
     """
 
-    def __init__(
-        self, data: list[bytes], lead: np.ndarray, starts: np.ndarray, left: np.ndarray, length: int
-    ):
-        sizes = np.array([len(x) for x in data], np.int64)
-        base = np.cumsum(sizes) - sizes
-        before = np.cumsum(starts) - starts
-        prefix = self._prefixes(data, starts, length)
-        # Only starts whose prefix occurs again are told apart any further.
-        order = np.argsort(prefix, kind="stable")
-        same = prefix[order[1:]] == prefix[order[:-1]]
-        again = np.zeros(len(order), bool)
-        again[1:] = same
-        again[:-1] |= same
-        chosen = order[again]
+    def __init__(self, chosen, prefix, starts, sizes, rank, text, left, length):
+        base, before = np.cumsum(sizes) - sizes, np.cumsum(starts) - starts
         context = np.searchsorted(before, chosen, "right") - 1
-        prefix = prefix[chosen]
-        # Within a class all suffixes agree up to their minimizer, so what follows it
-        # gives their order: contexts are sorted by that once.
-        tails = [x[at:] for x, at in zip(data, lead.tolist(), strict=True)]
-        rank = np.empty(len(data), np.int64)
-        rank[sorted(range(len(data)), key=tails.__getitem__)] = np.arange(len(data))
         order = np.lexsort((rank[context], prefix))
         self.context, prefix = context[order], prefix[order]
         self.offset = chosen[order] - before[self.context]
         place = base[self.context] + self.offset
         same = np.zeros(len(place), bool)
         same[1:] = prefix[1:] == prefix[:-1]
-        text = np.frombuffer(b"".join(data), np.uint8)
         ends = base[self.context] + sizes[self.context]
         self.left = np.where(
             self.offset > 0, text[np.maximum(place - 1, 0)].astype(np.int64), left[self.context]
@@ -289,24 +327,6 @@ class SuffixArray:
         pairs = np.flatnonzero(same)
         self.common[pairs] = self._common(text, place, ends, pairs)
 
-    @staticmethod
-    def _prefixes(data: list[bytes], starts: np.ndarray, length: int) -> np.ndarray:
-        """A hash of the first ``length`` bytes at every start, a slice at a time."""
-        table = mixed(np.arange(1, 257, dtype=U64))
-        found, low = [np.zeros(0, U64)], 0
-        while low < len(data):
-            high, size = low, 0
-            while high < len(data) and (high == low or size < SLICE):
-                size += len(data[high])
-                high += 1
-            own = starts[low:high]
-            base = np.cumsum([0, *map(len, data[low : high - 1])])
-            place = np.repeat(base - (np.cumsum(own) - own), own) + np.arange(own.sum())
-            values = table[np.frombuffer(b"".join(data[low:high]), np.uint8)]
-            found.append(window_hashes(values, length, BASE)[place])
-            low = high
-        return np.concatenate(found)
-
     def _common(self, text, place, ends, pairs) -> np.ndarray:
         limit = np.minimum(ends[pairs] - place[pairs], ends[pairs - 1] - place[pairs - 1])
         common = np.full(len(pairs), self.length, np.int64)
@@ -350,8 +370,8 @@ class SuffixArray:
         return longest
 
 
-def bucket_array(group: pa.Table, length: int) -> tuple[SuffixArray, np.ndarray]:
-    """The suffix array of a bucket's contexts, and the row each context came from.
+def bucket_arrays(group: pa.Table, length: int) -> tuple[Iterator[SuffixArray], np.ndarray]:
+    """The suffix array of a bucket's contexts, and the context each row stands for.
 
     A context that several parts hold, or one part several times, stands in it twice:
     its starts then have each other for neighbours.
@@ -372,10 +392,8 @@ def bucket_array(group: pa.Table, length: int) -> tuple[SuffixArray, np.ndarray]
         stands_for[rows] = at
         at += min(2, sum(weight[i] for i in rows))
     _, lead, starts, left, data = ([column[i] for i in chosen] for column in columns)
-    array = SuffixArray(
-        data, np.array(lead, np.int64), np.array(starts, np.int64), np.array(left, np.int64), length
-    )
-    return array, stands_for
+    numbers = (np.array(x, np.int64) for x in (lead, starts, left))
+    return suffix_arrays(data, *numbers, length), stands_for
 
 
 def occurrences(contexts: DataFrame, length: int) -> DataFrame:
@@ -385,11 +403,17 @@ def occurrences(contexts: DataFrame, length: int) -> DataFrame:
     """
 
     def hits(group: pa.Table, packed: dict[int, list[bytes]]) -> None:
-        array, stands_for = bucket_array(group, length)
-        longest = array.longest()
-        hit = np.flatnonzero(longest)
-        order = hit[np.lexsort((array.offset[hit], array.context[hit]))]
-        owner, offset, size = array.context[order], array.offset[order], longest[order]
+        arrays, stands_for = bucket_arrays(group, length)
+        found = [np.zeros((3, 0), np.int32)]
+        for array in arrays:
+            longest = array.longest()
+            hit = longest > 0
+            found.append(
+                np.stack([array.context[hit], array.offset[hit], longest[hit]]).astype(np.int32)
+            )
+        owner, offset, size = np.concatenate(found, axis=1)
+        order = np.lexsort((offset, owner))
+        owner, offset, size = owner[order], offset[order], size[order]
         part, number = (group.column(c).to_numpy() for c in ("part", "number"))
         low = np.searchsorted(owner, stands_for)
         high = np.searchsorted(owner, stands_for, "right")
@@ -423,12 +447,13 @@ def repeat_groups(
     def list_groups(group: pa.Table) -> pa.Table:
         bucket, rows, count = group.column("bucket")[0].as_py(), [], 0
         for portion in portions(group):
-            array, stands_for = bucket_array(portion, length)
+            arrays, stands_for = bucket_arrays(portion, length)
             part, number = (portion.column(c).to_pylist() for c in ("part", "number"))
             holders: dict[int, list[int]] = {}
             for row, at in enumerate(stands_for.tolist()):
                 holders.setdefault(at, []).append(row)
-            for depth, first, last in array.groups():
+            found = ((array, *group) for array in arrays for group in array.groups())
+            for array, depth, first, last in found:
                 count += 1
                 for i in range(first, last + 1):
                     for row in holders.get(int(array.context[i]), ()):
