@@ -87,7 +87,7 @@ def test_suffix_array_equals_plain_sorting():
     import numpy as np
 
     texts = [b"abcabcabcabc", b"xabcabcabc", b"abcabcabcabd"]
-    array = repeats.SuffixArray(
+    (array,) = repeats.suffix_arrays(
         texts, np.zeros(3, int), np.array([len(t) - 3 for t in texts]), np.full(3, -1), 4
     )
     found = [texts[c][o:] for c, o in zip(array.context, array.offset)]
