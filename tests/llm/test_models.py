@@ -224,6 +224,59 @@ def test_no_single_exchange_improves_the_classes(seed):
             assert likelihood(pairs, moved, 3) <= best + 1e-6
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_gains_of_a_sweep_equal_the_likelihood(seed):
+    rng = np.random.default_rng(seed)
+    classes, n = 4, 14
+    size = 1 + classes + 2
+    own = np.append(0, rng.integers(1, size, n - 1))
+    text = np.append(0, rng.integers(0, n, 600))
+    pairs = np.zeros((n, n))
+    np.add.at(pairs, (text, np.append(text[1:], 0)), 1)
+
+    def of(own):
+        member = np.eye(size)[own]
+        between = member.T @ pairs @ member
+        f = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return between, f(between) - 2 * f(between.sum(axis=1))
+
+    between, now = of(own)
+    word, codes, amounts = [], [], []
+    for w in range(1, n):
+        beside = np.zeros(2 * size + 1)
+        others = np.arange(n) != w
+        np.add.at(beside, own[others], pairs[others, w])
+        np.add.at(beside, size + own[others], pairs[w, others])
+        beside[2 * size] = pairs[w, w]
+        found = np.flatnonzero(beside)
+        word += [w - 1] * len(found)
+        codes += found.tolist()
+        amounts += beside[found].tolist()
+    word, codes, amounts = np.array(word), np.array(codes), np.array(amounts)
+    mover = brown.Mover(between, classes)
+    gains = mover.gains(own[1:], word, codes, amounts)
+    best = mover.move(own[1:], word, codes, amounts)
+    for w in range(1, n):
+        expected = [of(np.where(np.arange(n) == w, c, own))[1] for c in range(1, classes + 1)]
+        assert np.allclose(np.diff(gains[w - 1]), np.diff(expected))
+        assert expected[best[w - 1] - 1] >= max(expected) - 1e-6
+
+
+def test_words_below_the_head_get_classes_by_their_neighbours(spark):
+    rows, kinds = [], {"a": "go left", "b": "turn right"}
+    for i in range(4 * 300):
+        rows += [(2 * i + j, f"{kinds[k]} {k}{i % 300}") for j, k in enumerate(kinds)]
+    rows = [(i, t) for i, t in rows if not held_out(i, 7, 2)]
+    usual, crossed = ([f"go left {k}{n}" for n in range(300)] for k in kinds)
+
+    def scores(texts):
+        docs = documents(spark, rows + [(None, t) for t in texts])
+        return [r.score for r in brown.score_texts(docs, 4, 4).collect() if r.doc_id is None]
+
+    assert min(scores(usual)) - max(scores(crossed)) > 1
+    assert brown.class_number(10**6) > brown.class_number(10**5) > brown.CLASSES
+
+
 def test_probabilities_of_the_next_token_add_up():
     counts = np.array([[3, 5, 0], [2, 0, 9], [0, 1, 1]])
     assert np.allclose((10.0 ** brown.transitions(counts)).sum(axis=1), 1.0)
