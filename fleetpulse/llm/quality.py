@@ -7,7 +7,8 @@ logistic fit on other labelled rows turns the difference into a probability.
 
 The fit uses at most ``PER_CLASS`` labelled ids of each class, the lowest by a hash of
 the id, as far as their texts have at most ``FIT_BYTES`` bytes, half for the
-dictionaries and half for the calibration. Scoring covers every whole text.
+dictionaries and half for the calibration, in which each class weighs as much as its
+labels outside the held-out fold do. Scoring covers every whole text.
 
 Defined cases: a NULL text is the empty text, whose difference is 0; a NULL id is not
 held out and never trains; labels that are NULL or no 0 or 1 are passed over; without
@@ -87,15 +88,20 @@ class Sizer:
         return total / size if size else 0.0
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the fit of ``y`` on ``x`` with a faint pull towards zero."""
+def logistic(
+    x: np.ndarray, y: np.ndarray, amount: np.ndarray | float = 1.0
+) -> tuple[float, float]:
+    """Slope and offset of the fit of ``y`` on ``x`` with a faint pull towards zero.
+
+    Each row counts by its ``amount``.
+    """
     scale = float(np.abs(x).max()) or 1.0
     design = np.stack([x / scale, np.ones_like(x)], axis=1)
     weights = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip((design * weights).sum(axis=1), -30, 30)))
-        gradient = (design * (y - p)[:, None]).sum(axis=0) - 1e-3 * weights
-        curve = np.maximum(p * (1 - p), 1e-9)
+        gradient = (design * (amount * (y - p))[:, None]).sum(axis=0) - 1e-3 * weights
+        curve = amount * np.maximum(p * (1 - p), 1e-9)
         a, b, d = ((design[:, i] * design[:, j] * curve).sum() for i, j in ((0, 0), (0, 1), (1, 1)))
         a, d = a + 1e-3, d + 1e-3
         step = np.array([d * gradient[0] - b * gradient[1], a * gradient[1] - b * gradient[0]])
@@ -103,14 +109,19 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(weights[0] / scale), float(weights[1])
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``id`` and ``quality`` of the labels that may be learned from."""
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    return known.where(~held_out()).select(F.col("doc_id").alias("id"), "quality").distinct()
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The bounded sample to fit on: ``text`` and ``quality``, one row per chosen id.
 
     Ids are chosen from the labels alone; only then are their texts fetched, by a join
     with a kept table of a fixed size, so no other text moves.
     """
-    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.where(~held_out()).select(F.col("doc_id").alias("id"), "quality").distinct()
+    known = known_labels(labels)
     good, bad = (
         known.where(F.col("quality") == q).orderBy(F.xxhash64("id"), "id").limit(PER_CLASS)
         for q in (1, 0)
@@ -125,8 +136,9 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     rows = training_rows(docs, labels).toPandas()
     groups = [rows.text[rows.quality == q].tolist() for q in (1, 0)]
-    counts = [len(g) for g in groups]
-    if min(counts) < 2:
+    totals = dict(known_labels(labels).groupBy("quality").count().collect())
+    counts = [totals.get(q, 0) for q in (1, 0)]
+    if min(map(len, groups)) < 2:
         share = (counts[0] + 1) / (sum(counts) + 2)
         if not sum(counts):
             share = 0.5
@@ -135,7 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     sizer = Sizer(good, bad)
     rest = [(sizer.difference(t), q) for g, q in zip(groups, (1, 0), strict=True) for t in g[1::2]]
     x, y = (np.array(v, float) for v in zip(*rest, strict=True))
-    return QualityModel(good, bad, *logistic(x, y))
+    # The sample is bounded per class; classes count by their share of all labels.
+    kept = np.where(y == 1, y.sum(), (1 - y).sum())
+    amount = np.where(y == 1, *counts) / kept
+    return QualityModel(good, bad, *logistic(x, y, amount * len(x) / amount.sum()))
 
 
 def score(model: QualityModel, text: Column) -> Column:

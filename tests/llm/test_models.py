@@ -99,6 +99,21 @@ def test_added_spans_are_other_forms_of_personal_data(spark):
     assert {r.doc_id: r.text for r in redacted.collect()}[1] == "call me on [phone] before noon"
 
 
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("Suite 200 (415) 555-0132", ["(415) 555-0132"]),
+        ("(415) 555-0132 (415) 555-0133", ["(415) 555-0132", "(415) 555-0133"]),
+        ("2024 415 555 0132", ["415 555 0132"]),
+        ("1 " * 40 + "+1 415 555 0132", ["+1 415 555 0132"]),
+    ],
+)
+def test_numbers_beside_numbers_are_candidates(text, wanted):
+    proposed = {text[low:high] for kind, low, high in pii.candidates(text) if kind == "phone"}
+    assert set(wanted) <= proposed
+    assert ("ip", 3, 10) in pii.candidates("at 1.2.3.4")
+
+
 def test_pii_query_finds_what_the_patterns_find(spark):
     found = {r.doc_id: r for r in pii.op6_pii(spark, FOLDER).collect()}
     for doc_id, text in sample(spark):
@@ -154,6 +169,14 @@ def test_quality_without_both_classes(spark, known):
     assert quality.keep_good(documents(spark, []), labels(spark, known)).count() == 0
 
 
+def test_quality_prior_is_that_of_all_labels(spark, monkeypatch):
+    rows = [(i, "the same words in every text") for i in range(1800)]
+    docs, known = documents(spark, rows), labels(spark, [(i, int(i % 6 > 0), 0) for i, _ in rows])
+    monkeypatch.setattr(quality, "PER_CLASS", 60)
+    score = docs.select(quality.score(quality.fit(docs, known), quality.whole_text()).alias("s"))
+    assert abs(score.first().s - 5 / 6) < 0.03
+
+
 def brute_scores(rows):
     tokens = [[*(w.lower() for w in words(t)), None] for _, t in rows]
     learned = [i is not None and not held_out(i, 7, 2) for i, _ in rows]
