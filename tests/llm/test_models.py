@@ -114,6 +114,12 @@ def test_numbers_beside_numbers_are_candidates(text, wanted):
     assert ("ip", 3, 10) in pii.candidates("at 1.2.3.4")
 
 
+def test_kinds_that_few_documents_hold_are_fitted(spark):
+    rows = [(i, f"row {i} of {i * 7 % 1000} at 10:{i % 60:02d}") for i in range(4000)]
+    rows += [(5000 + i, f"call +1 (415) 555-{1000 + 37 * i} or a{i}@b{i}.example.org") for i in range(16)]
+    assert {"phone", "email"} <= set(pii.fit(documents(spark, rows)).trees)
+
+
 def test_pii_query_finds_what_the_patterns_find(spark):
     found = {r.doc_id: r for r in pii.op6_pii(spark, FOLDER).collect()}
     for doc_id, text in sample(spark):
