@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import runpy
+import sys
+from pathlib import Path
+
+import pytest
+
+ENTRY = str(Path(__file__).resolve().parent.parent / "__spark_entry__.py")
+
+
+@pytest.mark.parametrize(("missing", "passes"), [("corpus_pipeline", True), ("some_library", False)])
+def test_only_absent_text_operators_are_passed_over(monkeypatch, missing, passes):
+    class Finder:
+        @staticmethod
+        def find_spec(name, path=None, target=None):
+            if name == "corpus_pipeline":
+                raise ModuleNotFoundError(name, name=missing)
+
+    monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    monkeypatch.setattr(sys, "meta_path", [Finder, *sys.meta_path])
+    if passes:
+        assert "pipeline" not in runpy.run_path(ENTRY)["queries"]()
+    else:
+        with pytest.raises(ModuleNotFoundError):
+            runpy.run_path(ENTRY)
