@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import anchors, brown, decontaminate, exact_dedup, packing, pii, quality, repeats, simhash, token_lengths
+from fleetpulse.llm import (
+    anchors,
+    brown,
+    clustering,
+    decontaminate,
+    exact_dedup,
+    packing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    token_lengths,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -19,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_brown_scores": brown.op9_brown_scores,
     "op10_substring_dedup": anchors.op10_substring_dedup,
+    "op11_centroid_clustering": clustering.op11_centroid_clustering,
 }
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op7_decontamination": decontaminate.SQL,
+    "op11_centroid_clustering": clustering.SQL,
 }
