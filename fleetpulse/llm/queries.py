@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetpulse.llm import (
     anchors,
     brown,
+    chat,
     clustering,
     decontaminate,
     exact_dedup,
@@ -32,10 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_brown_scores": brown.op9_brown_scores,
     "op10_substring_dedup": anchors.op10_substring_dedup,
     "op11_centroid_clustering": clustering.op11_centroid_clustering,
+    "op12_chat_formatting": chat.op12_chat_formatting,
 }
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op7_decontamination": decontaminate.SQL,
     "op11_centroid_clustering": clustering.SQL,
+    "op12_chat_formatting": chat.SQL,
 }
