@@ -14,6 +14,7 @@ from fleetpulse.llm import (
     decontaminate,
     exact_dedup,
     packing,
+    phrases,
     pii,
     quality,
     repeats,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": anchors.op10_substring_dedup,
     "op11_centroid_clustering": clustering.op11_centroid_clustering,
     "op12_chat_formatting": chat.op12_chat_formatting,
+    "op13_collocations": phrases.op13_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -41,4 +43,5 @@ SQL: dict[str, str] = {
     "op7_decontamination": decontaminate.SQL,
     "op11_centroid_clustering": clustering.SQL,
     "op12_chat_formatting": chat.SQL,
+    "op13_collocations": phrases.SQL,
 }

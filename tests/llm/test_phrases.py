@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from fleetpulse.llm import phrases
+from fleetpulse.llm.phrases import (
+    Counts,
+    Summary,
+    collocations,
+    combined,
+    frequent_phrases,
+    op13_collocations,
+    packed,
+    token_blocks,
+    unpacked,
+)
+
+SCHEMA = "doc_id long, text string, lang string"
+FOLDER = "/root/testdata/sf0.001"
+
+
+def frame(spark, rows, clashing=False):
+    made = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], SCHEMA)
+    if clashing:
+        made = made.selectExpr("*", *(f"'own' AS {c}" for c in ("phrase", "size", "n", "a", "l", "k", "of_lang")))
+    return made
+
+
+def pieces(text):
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def brute_counts(rows):
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        for words in pieces(text):
+            totals[lang or "und" if lang is None else lang] += len(words)
+            for size in range(1, 5):
+                for k in range(len(words) - size + 1):
+                    counts["und" if lang is None else lang, tuple(words[k : k + size])] += 1
+    return counts, totals
+
+
+def brute(rows, threshold=30, top=2000):
+    counts, totals = brute_counts(rows)
+    often = {key: n for key, n in counts.items() if n >= threshold}
+    found = {}
+    for (lang, words), a in often.items():
+        if len(words) == 1:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = often[lang, words[:k]], often[lang, words[k:]]
+            cuts.append((2_000_000 * a // (left + right), k, left, right))
+        score, _, left, right = min(cuts)
+        around = [
+            n for (of, other), n in often.items()
+            if of == lang and len(other) > len(words)
+            and any(other[k : k + len(words)] == words for k in range(len(other) - len(words) + 1))
+        ]
+        if not any(100 * n >= 80 * a for n in around):
+            found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    out = []
+    for lang, listed in found.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(listed)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def found(frame):
+    return sorted(map(tuple, frame.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()))
+
+
+def odd_rows():
+    rng = random.Random(1)
+    words = ["New", "new", "york", "STATE", "ünïx", "İ", "a\x00b", " ", "x-y", "é", "of", "the"]
+    rows = [(" ".join(rng.choices(words, k=rng.randrange(30))), rng.choice(["en", "de", None])) for _ in range(200)]
+    rows += [("new york state of mind. new\tyork,state", "en")] * 40  # a fifth are copies
+    rows += [(None, "en"), ("", None), (" \t ", "en"), (".,;:!?\n\x0b\x0c\r", "xx"), ("lone", ""), ("tie one", "und")]
+    rows += [("a b\nb a; a  b c d e f", "")] * 35 + [("end of one", "en"), ("york state", "en")]
+    return rows
+
+
+@pytest.mark.parametrize("top", [2000, 7])
+def test_collocations_equal_brute_force(spark, top):
+    rows = odd_rows()
+    assert found(collocations(frame(spark, rows, clashing=True), top=top)) == brute(rows, top=top)
+
+
+def test_counts_do_not_depend_on_partitions_blocks_or_the_map(spark, monkeypatch):
+    rows = odd_rows() + [("one long text " * 4000 + "word" * 3000 + " " + "z " * 2000, "en")]
+    counts, totals = brute_counts(rows)
+    expected = sorted([(g, " ".join(w), len(w), n) for (g, w), n in counts.items() if n >= 30] + [(g, "", 0, n) for g, n in totals.items()])
+
+    def got(parts):
+        frequent = frequent_phrases(frame(spark, rows).repartition(parts))
+        return sorted(tuple(r) for r in frequent.select("lang", "phrase", "size", "n").collect() if r.size or r.n)
+
+    expected = [e for e in expected if e[3]]
+    assert got(1) == expected
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(phrases, "CHUNK", 100)
+    monkeypatch.setattr(phrases, "WORDS", 5)
+    monkeypatch.setattr(phrases, "PARTITION_BYTES", 1 << 12)
+    monkeypatch.setattr(phrases, "MAP_BITS", 8)  # nearly all n-grams get past it
+    assert got(5) == expected
+
+
+def test_no_rows_and_no_frequent_phrases(spark):
+    assert found(collocations(frame(spark, []))) == []
+    assert found(collocations(frame(spark, [("a b c", "en"), (None, None)]))) == []
+
+
+def test_blocks_keep_all_words():
+    text = b"ab cd\xffef " * 50 + b"x" * 100
+    for size in (1, 7, 64, 10_000):
+        phrases.BLOCK_BYTES, before = size, phrases.BLOCK_BYTES
+        try:
+            made = [w for block in token_blocks([text, b"", b"end"]) for w in block]
+        finally:
+            phrases.BLOCK_BYTES = before
+        whole = text.replace(b"\xff", b" \xff ").split()
+        assert made == [*whole, b"\xff", b"\xff", b"end", b"\xff"]
+
+
+def test_packets_round_trip():
+    rng = np.random.default_rng(2)
+    codes, counts = combined(rng.integers(0, 2**32, 5000, dtype=np.uint32), rng.integers(1, 10**6, 5000))
+    back = unpacked(packed(codes, counts))
+    assert (back[0] == codes).all() and (back[1] == counts).all()
+    assert len(unpacked(packed(codes[:0], counts[:0]))[0]) == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_every_frequent_code_survives_any_order_of_merges(seed):
+    rng = np.random.default_rng(seed)
+    rare = rng.integers(0, 2**32, 40_000, dtype=np.uint32)
+    hot = np.repeat(rng.integers(0, 2**32, 100, dtype=np.uint32), rng.integers(25, 40, 100))
+    stream = rng.permutation(np.concatenate([rare, hot, np.full(20_000, 7, np.uint32)]))
+    if seed == 0:
+        stream = np.sort(stream)
+    summary = Summary(len(stream), 30, slack=1 + seed % 3)
+    for part in np.array_split(stream, 1 + 37 * seed):
+        summary.merge(*combined(part))
+    survivors = set(summary.survivors().tolist())
+    codes, counts = combined(stream)
+    assert set(codes[counts >= 30].tolist()) <= survivors
+    assert summary.lost <= len(stream) // summary.capacity < 30
+    assert len(summary.codes) <= summary.capacity
+
+
+def test_equal_hashes_of_different_words_stay_apart():
+    counts = Counts()
+    keys = np.array([[0, 1, 2, 0, 0], [0, 2, 1, 0, 0], [0, 1, 2, 0, 0], [0, 3, 0, 0, 0]], np.int32)
+    counts.add(np.array([5, 5, 5, 6], np.uint64), keys)
+    counts.settle()
+    listed = {tuple(k): int(n) for k, n in zip(counts.keys[0], counts.counts[0])}
+    assert listed == {(0, 1, 2, 0, 0): 2, (0, 2, 1, 0, 0): 1, (0, 3, 0, 0, 0): 1}
+
+
+def test_query_on_the_given_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text", "lang").collect()]
+    assert found(op13_collocations(spark, FOLDER)) == brute(rows)
+
+
+def test_scores_beyond_64_bits_are_exact(spark):
+    big = 6 * 10**12
+    made = spark.createDataFrame(
+        [("en", "a b", 2, big), ("en", "a", 1, big + 1), ("en", "b", 1, big + 7), ("en", "", 0, 3 * big)],
+        "lang string, phrase string, size int, n long",
+    )
+    (row,) = phrases.scored(made).collect()
+    assert row.score == 2_000_000 * big // (2 * big + 8)
