@@ -47,6 +47,7 @@ MAP_BITS = 27
 PARTITION_BYTES = 8 << 20
 BLOCK_BYTES = 2 << 20
 CHUNK = 4 << 20
+COUNTED = 1 << 20  # occurrences that a task of the second pass combines at once
 WORDS = 1 << 19
 PIECES = b".,;:!?\n\x0b\x0c\r"
 BREAK = b"\xff"  # in no UTF-8 text
@@ -237,7 +238,7 @@ def _batch(columns: list, names: list[str], types: list) -> object:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def hash_packets(texts: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
+def hash_packets(texts: DataFrame, bits: int) -> DataFrame:
     """``bucket``, ``turn`` (0: its ``mass``, 1: ``data``) of each task's n-grams."""
 
     def run(batches: Iterator) -> Iterator:
@@ -266,7 +267,7 @@ def hash_packets(texts: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
             for _, _, code in ngram_hashes(ids, reader.hashes, seed, fresh):
                 parts.append(code)
                 size += len(code)
-            if size >= chunk:
+            if size >= CHUNK:
                 yield from emit(parts)
                 parts, size = [], 0
         if size:
@@ -359,7 +360,7 @@ class Counts:
         self.size = len(starts)
 
 
-def counted(texts: DataFrame, held: np.ndarray, chunk: int = CHUNK) -> DataFrame:
+def counted(texts: DataFrame, held: np.ndarray) -> DataFrame:
     """``lang``, ``phrase``, its ``size`` in words and exact count ``n``.
 
     N-grams without a bit in the map are left out; size 0 has the language's words.
@@ -409,9 +410,9 @@ def counted(texts: DataFrame, held: np.ndarray, chunk: int = CHUNK) -> DataFrame
                 for k in range(length):
                     keys[:, k + 1] = ids[starts[chosen] + k]
                 counts.add(code[chosen], keys)
-            if counts.size >= chunk:
+            if counts.size >= COUNTED:
                 counts.settle()
-                if counts.size >= chunk // 2:
+                if counts.size >= COUNTED // 2:
                     yield from rows()
                     counts = Counts()
         yield from rows()

@@ -106,6 +106,7 @@ def test_counts_do_not_depend_on_partitions_blocks_or_the_map(spark, monkeypatch
     assert got(1) == expected
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 64)
     monkeypatch.setattr(phrases, "CHUNK", 100)
+    monkeypatch.setattr(phrases, "COUNTED", 100)
     monkeypatch.setattr(phrases, "WORDS", 5)
     monkeypatch.setattr(phrases, "PARTITION_BYTES", 1 << 12)
     monkeypatch.setattr(phrases, "MAP_BITS", 8)  # nearly all n-grams get past it
