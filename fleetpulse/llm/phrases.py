@@ -8,8 +8,8 @@ the summary loses of any count is under the threshold divided by ``SLACK``: ever
 frequent n-gram survives. Equal hashes only add up, which drops nothing either.
 
 The survivors set bits of a map of fixed size, which is all that is broadcast. A second
-pass counts the n-grams with their bit set as words, not hashes, and Spark sums them up:
-the counts are exact, whatever got past the map by chance. Scores, the drop of phrases
+pass counts the n-grams with their bit set as words, not hashes, in the task and then by
+hash partition: the counts are exact, whatever got past the map by chance. Scores, the drop of phrases
 inside longer ones and the ranking are DataFrame operations on the frequent phrases.
 
 Where the map fills up (far beyond ``MAP_BITS`` / 10 frequent n-grams) it holds back less
@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,10 +46,11 @@ SLACK = 4
 MAP_BITS = 27
 # Text that one hash partition is made for, and what tasks handle at once.
 PARTITION_BYTES = 8 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK = 4 << 20
-COUNTED = 1 << 20  # occurrences that a task of the second pass combines at once
 WORDS = 1 << 19
+PLACES = 1 << 20
+WAITING = 1 << 20
 PIECES = b".,;:!?\n\x0b\x0c\r"
 BREAK = b"\xff"  # in no UTF-8 text
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -58,56 +60,57 @@ LETTERS = bytes(
 )
 
 
-class Words(dict):
-    """Numbers of words in order of appearance, with their hashes; 0 is a break."""
+def slices(data: bytes) -> Iterator[bytes]:
+    """``data`` in parts of about ``BLOCK_BYTES`` that end where a word ends."""
+    at = 0
+    while at < len(data):
+        end = at + BLOCK_BYTES
+        ends = [x for x in (data.find(b" ", end), data.find(BREAK, end)) if x >= 0]
+        end = min(ends, default=len(data))
+        yield data[at:end]
+        at = end
 
-    def __init__(self) -> None:
-        self.words: list[bytes] = []
-        self.hashes: list[int] = []
-        self[BREAK]
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
+def split_words(data: bytes) -> tuple[object, np.ndarray, int]:
+    """The words, dictionary-encoded, the number of breaks before each, and all breaks."""
+    import pyarrow as pa
+
+    letters = np.frombuffer(data, np.uint8)
+    breaks = letters == BREAK[0]
+    inside = ~(breaks | (letters == 32))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters[inside])]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers)
+    passed = np.cumsum(breaks, dtype=np.int64)
+    return words.dictionary_encode(), passed[starts], int(passed[-1]) if len(passed) else 0
 
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(xxh64_intdigest(word))
-        return number
-
-
-def token_blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """Words and breaks of the texts, in blocks of about ``BLOCK_BYTES``."""
-    tokens: list[bytes] = []
-    size = 0
-    for text in texts:
-        at = 0
-        while at < len(text):
-            end = at + BLOCK_BYTES - size
-            if end < len(text):  # cut after the word that reaches over the end
-                ends = [x for x in (text.find(b" ", end), text.find(BREAK, end)) if x >= 0]
-                end = min(ends, default=len(text))
-            tokens += text[at:end].replace(BREAK, b" \xff ").split()
-            size, at = size + end - at, end
-            if size >= BLOCK_BYTES:
-                yield tokens
-                tokens, size = [], 0
-        tokens.append(BREAK)
-    yield tokens
+
+class Block(NamedTuple):
+    """Words of one language in a row; n-grams do not leave a piece."""
+
+    lang: str
+    seed: int
+    ids: np.ndarray  # the words' numbers, from 1
+    pieces: np.ndarray  # the number of each word's piece
+    carried: int  # how many words at the front were in the block before
 
 
 def ngram_hashes(
-    ids: np.ndarray, hashes: np.ndarray, seed: int, fresh: int, longest: int = LONGEST
+    block: Block, hashes: np.ndarray, longest: int = LONGEST
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per length: the starts of its n-grams that end at ``fresh`` or later, and hashes."""
-    whole = ids != 0
-    word = hashes[ids] ^ np.uint64(seed)
-    mixed, there = word, whole
+    """Per length: the starts of the n-grams that end among the fresh words, and hashes."""
+    word = hashes[block.ids] ^ np.uint64(block.seed)
+    mixed = word
     for length in range(1, longest + 1):
         if length > 1:
             mixed = (mixed[:-1] ^ (mixed[:-1] >> np.uint64(29))) * STEP + word[length - 1 :]
-            there = there[:-1] & whole[length - 1 :]
-        starts = np.flatnonzero(there)
-        starts = starts[starts + length - 1 >= fresh]
+        last = length - 1
+        whole = block.pieces[: len(mixed)] == block.pieces[last:]
+        whole[: max(block.carried - last, 0)] = False
+        starts = np.flatnonzero(whole)
         code = mixed[starts]
         code = (code ^ (code >> np.uint64(32))) * SPREAD
         yield length, starts, code ^ (code >> np.uint64(31))
@@ -116,18 +119,15 @@ def ngram_hashes(
 class Reader:
     """Turns the batches of a task into numbered words, language by language."""
 
-    def __init__(self, longest: int = LONGEST) -> None:
-        self.longest = longest
+    def __init__(self) -> None:
         self.renew()
 
     def renew(self) -> None:
-        self.words, self.hashes = Words(), np.zeros(0, np.uint64)
-
-    def blocks(self, batches: Iterator) -> Iterator[tuple[str, int, np.ndarray, int] | None]:
-        """Language, its hash, word numbers and how many of them are known from before.
+        self.numbers: dict[bytes, int] = {}
+        self.words, self.hashes = [b""], np.zeros(1, np.uint64)
 
-        None says that the words are about to be numbered anew.
-        """
+    def blocks(self, batches: Iterator) -> Iterator[Block | None]:
+        """None says that the words are about to be numbered anew."""
         waiting: dict[str, list[bytes]] = {}
         size = 0
         for batch in batches:
@@ -139,22 +139,38 @@ class Reader:
                 if size >= BLOCK_BYTES:
                     yield from self.numbered(waiting)
                     waiting, size = {}, 0
-                    if len(self.words.words) > WORDS:
+                    if len(self.words) > WORDS:
                         yield None
                         self.renew()
         yield from self.numbered(waiting)
 
-    def numbered(self, waiting: dict[str, list[bytes]]) -> Iterator[tuple[str, int, np.ndarray, int]]:
+    def numbered(self, waiting: dict[str, list[bytes]]) -> Iterator[Block]:
         from xxhash import xxh64_intdigest
 
         for lang, texts in waiting.items():
-            seed, carried = xxh64_intdigest(lang.encode(), 1), np.zeros(0, np.int64)
-            for tokens in token_blocks(texts):
-                own = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-                fresh = np.array(self.words.hashes[len(self.hashes) :], np.uint64)
-                self.hashes = np.concatenate([self.hashes, fresh])
-                yield lang, seed, np.concatenate([carried, own]), len(carried)
-                carried = np.concatenate([carried, own])[-(self.longest - 1) :]
+            seed, passed = xxh64_intdigest(lang.encode(), 1), 0
+            before = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for data in slices(BREAK.join(texts)):
+                encoded, pieces, breaks = split_words(data)
+                known = self.known(encoded.dictionary.to_pylist())
+                ids = np.concatenate([before[0], known[encoded.indices.to_numpy()]])
+                pieces = np.concatenate([before[1], pieces + passed])
+                yield Block(lang, seed, ids, pieces, len(before[0]))
+                passed += breaks
+                before = ids[-(LONGEST - 1) :], pieces[-(LONGEST - 1) :]
+
+    def known(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of distinct words, new ones included."""
+        from xxhash import xxh64_intdigest
+
+        numbers, fresh = self.numbers, []
+        for word in words:
+            if word not in numbers:
+                numbers[word] = len(self.words)
+                self.words.append(word)
+                fresh.append(xxh64_intdigest(word))
+        self.hashes = np.concatenate([self.hashes, np.array(fresh, np.uint64)])
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
 def combined(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -263,8 +279,7 @@ def hash_packets(texts: DataFrame, bits: int) -> DataFrame:
         for block in reader.blocks(batches):
             if block is None:
                 continue
-            _, seed, ids, fresh = block
-            for _, _, code in ngram_hashes(ids, reader.hashes, seed, fresh):
+            for _, _, code in ngram_hashes(block, reader.hashes):
                 parts.append(code)
                 size += len(code)
             if size >= CHUNK:
@@ -316,7 +331,7 @@ def survivor_map(packets: DataFrame, bits: int, threshold: int = THRESHOLD) -> n
 
     import zstandard
 
-    dealt = packets.repartition(max(partitions(packets.sparkSession), 1), "bucket")
+    dealt = packets.repartition(partitions(packets.sparkSession), "bucket")
     found = dealt.sortWithinPartitions("bucket", "turn").mapInArrow(run, "bucket long, data binary")
     held = np.zeros(1 << (digits - 3), np.uint8)
     width = 1 << (digits - bits - 3)
@@ -327,43 +342,67 @@ def survivor_map(packets: DataFrame, bits: int, threshold: int = THRESHOLD) -> n
 
 
 class Counts:
-    """Exact counts of a task's n-grams: language and word numbers, beside a hash."""
+    """Exact counts of a task's n-grams, each told by language and word numbers.
+
+    An n-gram is counted in its place of a table if that holds it or nothing yet. The
+    others wait and are combined by sorting. Hashes only lead to the place or into
+    order; what is equal is decided by the words.
+    """
 
-    def __init__(self, longest: int = LONGEST) -> None:
-        self.keys: list[np.ndarray] = []
-        self.codes: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.longest, self.size = longest, 0
+    def __init__(self) -> None:
+        self.codes = np.zeros(PLACES, np.uint64)
+        self.keys = np.zeros((PLACES, LONGEST + 1), np.int32)
+        self.counts = np.zeros(PLACES, np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.counts[:] = 0
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
 
     def add(self, codes: np.ndarray, keys: np.ndarray) -> None:
-        self.codes.append(codes)
-        self.keys.append(keys)
-        self.counts.append(np.ones(len(codes), np.int64))
-        self.size += len(codes)
+        place = (codes & np.uint64(PLACES - 1)).astype(np.int64)
+        free = self.counts[place] == 0
+        self.codes[place[free]], self.keys[place[free]] = codes[free], keys[free]
+        own = self.codes[place] == codes
+        own[own] = (self.keys[place[own]] == keys[own]).all(axis=1)
+        np.add.at(self.counts, place[own], 1)
+        rest = int(len(own) - np.count_nonzero(own))
+        if rest:
+            self.waiting.append((codes[~own], keys[~own], np.ones(rest, np.int64)))
+            self.size += rest
 
     def settle(self) -> None:
-        """Combine equal n-grams. Hashes only sort them: equality is that of the words."""
+        """Combine what waits."""
         if not self.size:
             return
-        codes, keys, counts = map(np.concatenate, (self.codes, self.keys, self.counts))
+        codes, keys, counts = map(np.concatenate, zip(*self.waiting))
         order = np.argsort(codes, kind="stable")
         codes, keys, counts = codes[order], keys[order], counts[order]
-        first = np.concatenate([[True], codes[1:] != codes[:-1]])
-        differ = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
-        if (differ & ~first).any():  # different words under one hash
+        differ = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
+        if (differ & np.append(False, codes[1:] == codes[:-1])).any():
+            # Different words under one hash: order by the words instead.
             order = np.lexsort(keys.T)
             codes, keys, counts = codes[order], keys[order], counts[order]
-            differ = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+            differ = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
         starts = np.flatnonzero(differ)
-        self.codes, self.keys = [codes[starts]], [keys[starts]]
-        self.counts = [np.add.reduceat(counts, starts)]
+        self.waiting = [(codes[starts], keys[starts], np.add.reduceat(counts, starts))]
         self.size = len(starts)
 
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, keys and counts; an n-gram may be there twice."""
+        self.settle()
+        used = np.flatnonzero(self.counts)
+        parts = [(self.codes[used], self.keys[used], self.counts[used]), *self.waiting]
+        codes, keys, counts = map(np.concatenate, zip(*parts))
+        return codes, keys, counts
+
 
-def counted(texts: DataFrame, held: np.ndarray) -> DataFrame:
-    """``lang``, ``phrase``, its ``size`` in words and exact count ``n``.
+def phrase_packets(texts: DataFrame, held: np.ndarray, bits: int) -> DataFrame:
+    """Exact counts of the n-grams with a bit in the map, by task.
 
-    N-grams without a bit in the map are left out; size 0 has the language's words.
+    A row has all of a task that one hash partition gets of one ``lang``: ``data`` with
+    counts and phrases, or, in partition 0, the number of its ``words``.
     """
     digits = int(math.log2(len(held))) + 3
     shared = texts.sparkSession.sparkContext.broadcast(held.tobytes())
@@ -371,60 +410,101 @@ def counted(texts: DataFrame, held: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import zstandard
 
         there = once(name, lambda: np.frombuffer(shared.value, np.uint8))
-        names = ["lang", "phrase", "size", "n"]
-        types = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+        names = ["bucket", "lang", "words", "data"]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.binary()]
         reader, counts = Reader(), Counts()
         langs: dict[str, int] = {}
         totals: dict[str, int] = {}
 
         def rows() -> Iterator:
-            counts.settle()
-            if counts.size:
-                listed, words = list(langs), reader.words.words
-                for at in range(0, counts.size, 1 << 16):
-                    keys = counts.keys[0][at : at + (1 << 16)]
-                    phrases = [b" ".join([words[i] for i in key if i]) for key in keys[:, 1:].tolist()]
-                    of = [listed[i] for i in keys[:, 0].tolist()]
-                    sizes = (keys[:, 1:] > 0).sum(axis=1).astype(np.int32)
-                    batch = _batch([of, phrases, sizes, counts.counts[0][at : at + (1 << 16)]], names, types)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), batch.column(1).cast(pa.string()), *batch.columns[2:]], names
-                    )
+            codes, keys, numbers = counts.all()
+            if not len(codes):
+                return
+            owner = ((codes >> np.uint64(63 - bits)) >> np.uint64(1)).astype(np.int64)
+            order = np.lexsort((owner, keys[:, 0]))
+            keys, numbers, owner = keys[order], numbers[order], owner[order]
+            apart = (np.diff(owner) != 0) | (np.diff(keys[:, 0]) != 0)
+            starts = np.flatnonzero(np.append(True, apart))
+            listed, words = list(langs), reader.words
+            for low, high in zip(starts, np.append(starts[1:], len(order)), strict=True):
+                phrases = [b" ".join([words[i] for i in key if i]) for key in keys[low:high, 1:].tolist()]
+                raw = numbers[low:high].tobytes() + b"\n".join(phrases)
+                data = zstandard.ZstdCompressor(level=1).compress(raw)
+                yield _batch([[int(owner[low])], [listed[keys[low, 0]]], [high - low], [data]], names, types)
+            counts.clear()
 
         for block in reader.blocks(batches):
             if block is None:
                 yield from rows()
-                counts = Counts()
                 continue
-            lang, seed, ids, fresh = block
-            number = langs.setdefault(lang, len(langs))
-            totals[lang] = totals.get(lang, 0) + int(np.count_nonzero(ids[fresh:]))
-            for length, starts, code in ngram_hashes(ids, reader.hashes, seed, fresh):
+            number = langs.setdefault(block.lang, len(langs))
+            totals[block.lang] = totals.get(block.lang, 0) + len(block.ids) - block.carried
+            for length, starts, code in ngram_hashes(block, reader.hashes):
                 slot = code >> np.uint64(64 - digits)
                 bit = there[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)
                 chosen = np.flatnonzero(bit & 1)
                 keys = np.zeros((len(chosen), LONGEST + 1), np.int32)
                 keys[:, 0] = number
                 for k in range(length):
-                    keys[:, k + 1] = ids[starts[chosen] + k]
+                    keys[:, k + 1] = block.ids[starts[chosen] + k]
                 counts.add(code[chosen], keys)
-            if counts.size >= COUNTED:
+            if counts.size >= WAITING:
                 counts.settle()
-                if counts.size >= COUNTED // 2:
+                if counts.size >= WAITING // 2:
                     yield from rows()
-                    counts = Counts()
         yield from rows()
         if totals:
-            empty = [""] * len(totals)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals)), pa.array(empty), pa.array([0] * len(totals), pa.int32()),
-                 pa.array(list(totals.values()), pa.int64())], names,
-            )
+            yield _batch([[0] * len(totals), list(totals), list(totals.values()), [None] * len(totals)], names, types)
+
+    return texts.mapInArrow(run, "bucket long, lang string, words long, data binary")
+
+
+def summed(packets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``lang``, ``phrase``, its ``size`` in words and count ``n``, if frequent.
+
+    Size 0 has the language's words. A task holds the phrases of one hash partition.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        names, types = ["lang", "phrase", "size", "n"], [pa.string(), pa.binary(), pa.int32(), pa.int64()]
 
-    parts = texts.mapInArrow(run, "lang string, phrase string, size int, n long")
-    return parts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+        def frequent(lang: str, found: dict[bytes, int], words: int) -> object:
+            chosen = [(p, n) for p, n in found.items() if n >= threshold]
+            sizes = [p.count(b" ") + 1 for p, _ in chosen]
+            if words:
+                chosen, sizes = [*chosen, (b"", words)], [*sizes, 0]
+            phrases, counts = zip(*chosen) if chosen else ((), ())
+            batch = _batch([[lang] * len(chosen), phrases, sizes, counts], names, types)
+            return batch.set_column(1, "phrase", batch.column(1).cast(pa.string()))
+
+        at, found, words = None, {}, 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                bucket, lang, more, data = (column[k].as_py() for column in batch.columns)
+                if (bucket, lang) != at:
+                    if at is not None:
+                        yield frequent(at[1], found, words)
+                    at, found, words = (bucket, lang), {}, 0
+                if data is None:
+                    words += more
+                    continue
+                raw = zstandard.ZstdDecompressor().decompress(data)
+                counts = np.frombuffer(raw, np.int64, more).tolist()
+                for phrase, n in zip(raw[8 * more :].split(b"\n"), counts, strict=True):
+                    found[phrase] = found.get(phrase, 0) + n
+        if at is not None:
+            yield frequent(at[1], found, words)
+
+    dealt = packets.repartition(partitions(packets.sparkSession), "bucket")
+    return dealt.sortWithinPartitions("bucket", "lang").mapInArrow(
+        run, "lang string, phrase string, size int, n long"
+    )
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -437,7 +517,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = partition_bits(size)
     held = survivor_map(hash_packets(texts, bits), bits, threshold)
-    return keep(counted(texts, held).where((F.col("n") >= threshold) | (F.col("size") == 0)), "phrases")
+    return keep(summed(phrase_packets(texts, held, bits), threshold), "phrases")
 
 
 def exact(value: Column) -> Column:

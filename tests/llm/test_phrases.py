@@ -16,7 +16,8 @@ from fleetpulse.llm.phrases import (
     frequent_phrases,
     op13_collocations,
     packed,
-    token_blocks,
+    slices,
+    split_words,
     unpacked,
 )
 
@@ -106,7 +107,8 @@ def test_counts_do_not_depend_on_partitions_blocks_or_the_map(spark, monkeypatch
     assert got(1) == expected
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 64)
     monkeypatch.setattr(phrases, "CHUNK", 100)
-    monkeypatch.setattr(phrases, "COUNTED", 100)
+    monkeypatch.setattr(phrases, "PLACES", 16)
+    monkeypatch.setattr(phrases, "WAITING", 100)
     monkeypatch.setattr(phrases, "WORDS", 5)
     monkeypatch.setattr(phrases, "PARTITION_BYTES", 1 << 12)
     monkeypatch.setattr(phrases, "MAP_BITS", 8)  # nearly all n-grams get past it
@@ -118,16 +120,19 @@ def test_no_rows_and_no_frequent_phrases(spark):
     assert found(collocations(frame(spark, [("a b c", "en"), (None, None)]))) == []
 
 
-def test_blocks_keep_all_words():
-    text = b"ab cd\xffef " * 50 + b"x" * 100
-    for size in (1, 7, 64, 10_000):
-        phrases.BLOCK_BYTES, before = size, phrases.BLOCK_BYTES
-        try:
-            made = [w for block in token_blocks([text, b"", b"end"]) for w in block]
-        finally:
-            phrases.BLOCK_BYTES = before
-        whole = text.replace(b"\xff", b" \xff ").split()
-        assert made == [*whole, b"\xff", b"\xff", b"end", b"\xff"]
+@pytest.mark.parametrize("size", [1, 7, 64, 10_000])
+def test_slices_and_words_keep_all(monkeypatch, size):
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", size)
+    data = b"ab cd\xffef " * 50 + b"x" * 100 + b"\xff\xff end"
+    words, pieces, passed = [], [], 0
+    for part in slices(data):
+        encoded, of, breaks = split_words(part)
+        words += encoded.dictionary_decode().to_pylist()
+        pieces += (of + passed).tolist()
+        passed += breaks
+    expected = [(w, k) for k, piece in enumerate(data.split(b"\xff")) for w in piece.split()]
+    assert list(zip(words, pieces, strict=True)) == expected
+    assert len(split_words(b"")[0]) == 0
 
 
 def test_packets_round_trip():
@@ -158,11 +163,17 @@ def test_every_frequent_code_survives_any_order_of_merges(seed):
 
 def test_equal_hashes_of_different_words_stay_apart():
     counts = Counts()
-    keys = np.array([[0, 1, 2, 0, 0], [0, 2, 1, 0, 0], [0, 1, 2, 0, 0], [0, 3, 0, 0, 0]], np.int32)
-    counts.add(np.array([5, 5, 5, 6], np.uint64), keys)
+    keys = np.array([[0, 1, 2, 0, 0], [0, 2, 1, 0, 0], [0, 1, 2, 0, 0], [0, 3, 0, 0, 0], [0, 4, 0, 0, 0]], np.int32)
+    for _ in range(2):
+        counts.add(np.array([5, 5, 5, 6, 5], np.uint64), keys)
     counts.settle()
-    listed = {tuple(k): int(n) for k, n in zip(counts.keys[0], counts.counts[0])}
-    assert listed == {(0, 1, 2, 0, 0): 2, (0, 2, 1, 0, 0): 1, (0, 3, 0, 0, 0): 1}
+    listed = Counter()
+    for key, n in zip(*counts.all()[1:]):
+        listed[tuple(key.tolist())] += int(n)
+    one, two, three, four = map(tuple, keys[[0, 1, 3, 4]].tolist())
+    assert listed == {one: 4, two: 2, three: 2, four: 2}
+    counts.clear()
+    assert len(counts.all()[0]) == 0
 
 
 def test_query_on_the_given_table(spark):
