@@ -15,9 +15,9 @@ table instead of three gathers per level. Trees with too many boxes are walked.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Sequence
-from statistics import NormalDist
 from typing import NamedTuple
 
 import numpy as np
@@ -189,34 +189,88 @@ def worker_tables(name: str, trees: Sequence[tuple], width: int) -> PathLengths:
     kept = vars(sys).setdefault("_forest_tables", {})
     if name not in kept:
         kept.clear()
-        kept[name] = PathLengths([Tree(*arrays) for arrays in trees], width)
+        grown, budget = [Tree(*arrays) for arrays in trees], TABLE_BUDGET // max(len(trees), 1)
+        tabled = [t if t.table is not None else tabulate(t, width, budget) for t in grown]
+        kept[name] = PathLengths(tabled, width)
     return kept[name]
 
 
-def draw_slots(seed: int, code: int, slots: int, share: float) -> np.ndarray:
-    """Which of a row's ``slots`` are drawn, each with probability ``share``.
+def draw_slots(
+    seed: int, codes: np.ndarray, slots: np.ndarray, share: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of each row's ``slots`` are drawn, each with probability ``share``.
 
-    The number is the binomial quantile of the row's own uniform number, which is what
-    ``sampled`` compares in Spark: at least one is drawn where that is below
-    ``1 - (1 - share) ** slots``. Nothing but the row's code and the seed decides.
+    Returns the rows' places and their slots. How many a row gets is the binomial
+    quantile of its own uniform number, which is what ``sampled`` compares in Spark: at
+    least one is drawn where that is below ``1 - (1 - share) ** slots``. Nothing but the
+    row's code and the seed decides.
     """
-    uniform = (code % 2**64 >> 11) * 2.0**-53
-    mean = slots * share
+    codes = codes.astype(np.int64).view(np.uint64)
+    counts = np.minimum(_slot_counts(codes, slots, share), slots)
+    row = np.repeat(np.arange(len(codes)), counts)
+    if share > 0.5:  # few rows in all: put the slots of each in random order
+        orders = [
+            np.random.default_rng([seed, int(code)]).permutation(int(n))[:count]
+            for code, n, count in zip(codes, slots, counts, strict=True)
+        ]
+        return row, np.concatenate([np.zeros(0, np.int64), *orders])
+    # The n-th slot of a row is a hash of its code and n; slots taken are drawn again.
+    number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    base = mixed(codes ^ mixed(np.full(1, seed, np.uint64)))
+    slot = np.zeros(len(row), np.int64)
+    left, attempt = np.arange(len(row)), 0
+    while len(left):
+        turn = np.uint64(attempt) * np.uint64(1 << 40) + number[left].astype(np.uint64)
+        slot[left] = (mixed(base[row[left]] + turn) % slots[row[left]].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((number, slot, row))
+        same = (row[order][1:] == row[order][:-1]) & (slot[order][1:] == slot[order][:-1])
+        left, attempt = np.sort(order[1:][same]), attempt + 1
+    return row, slot
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits well mixed."""
+    values = values + np.uint64(0x9E3779B97F4A7C15)
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def _slot_counts(codes: np.ndarray, slots: np.ndarray, share: float) -> np.ndarray:
     if share >= 1.0:
-        count = slots
-    elif mean > 500:
-        bound = NormalDist(mean, (mean * (1 - share)) ** 0.5)
-        count = round(bound.inv_cdf(min(max(1.0 - uniform, 1e-15), 1 - 1e-15)))
-    else:
-        # From above: the smaller the number, the more slots are drawn.
-        chance = (1 - share) ** slots
-        count, left = 0, 1.0 - chance
-        while uniform < left and count < slots:
-            count += 1
-            chance *= (slots - count + 1) / count * share / (1 - share)
-            left -= chance
-    rng = np.random.default_rng([seed, code % 2**64])
-    return rng.choice(slots, min(max(count, 0), slots), replace=False)
+        return slots.astype(np.int64)
+    uniform = (codes >> np.uint64(11)) * 2.0**-53
+    counts = np.zeros(len(codes), np.int64)
+    many = slots * share > 500
+    for place in np.flatnonzero(many):
+        counts[place] = _tail_quantile(float(uniform[place]), int(slots[place]), share)
+    # From above: the smaller the number, the more slots are drawn.
+    chance = np.exp(slots * math.log1p(-share))
+    left = 1.0 - chance
+    rest = np.flatnonzero(~many & (uniform < left))
+    while len(rest):
+        counts[rest] += 1
+        chance[rest] *= (slots[rest] - counts[rest] + 1) / counts[rest] * share / (1 - share)
+        left[rest] -= chance[rest]
+        rest = rest[(uniform[rest] < left[rest]) & (counts[rest] < slots[rest])]
+    return counts
+
+
+def _tail_quantile(uniform: float, slots: int, share: float) -> int:
+    """The largest count that a binomial number reaches with more than ``uniform``.
+
+    Its chances start too small for doubles, so they are summed around the mean, as far
+    out as any number of 53 bits can tell.
+    """
+    mean = slots * share
+    reach = math.ceil(12 * math.sqrt(mean)) + 1
+    low, high = max(math.floor(mean) - reach, 0), min(math.ceil(mean) + reach, slots)
+    counts = np.arange(low + 1, high + 1)
+    steps = np.log(slots - counts + 1.0) - np.log(counts) + math.log(share) - math.log1p(-share)
+    heights = np.concatenate([[0.0], np.cumsum(steps)])
+    chances = np.exp(heights - heights.max())
+    above = np.cumsum(chances[::-1])[::-1] / chances.sum()  # of reaching low, low + 1, ...
+    return low + int(np.count_nonzero(above > uniform)) - 1
 
 
 def walk(tree: Tree, columns: Sequence[np.ndarray]) -> np.ndarray:

@@ -13,17 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.trees import (
-    TABLE_BUDGET,
-    Tree,
-    draw_slots,
-    grow_tree,
-    mean_path,
-    tabulate,
-    worker_tables,
-)
+from fleetpulse.functions.trees import Tree, grow_tree, mean_path, worker_tables
 from fleetpulse.operators.power import round_power
 from fleetpulse.operators.quantile import exact_quantile
+from fleetpulse.operators.sampling import drawable, sampled, sketch_capacity
 from fleetpulse.params import Params
 from fleetpulse.sources.staging import Staged, stage
 
@@ -48,7 +41,7 @@ def fit_forest(
 ) -> ForestModel:
     """Grow ``params.trees`` trees, each from up to ``params.max_samples`` rows.
 
-    Each tree grows in a task of its own, from the rows that drew its number; only the
+    A tree grows from the rows that drew its number, several trees to a task; only the
     grown trees reach the driver. ``rows`` saves counting them (see ``row_counts``).
     """
     if rows is None:
@@ -57,26 +50,39 @@ def fit_forest(
     if sample_size == 0:
         return ForestModel(tuple(features), 0, ())
 
-    seed, width, budget = params.seed, len(features), TABLE_BUDGET // params.trees
-    names = list(features)
-
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        number = int(group["tree"].iloc[0])
-        chosen = group.sort_values(["place", *names]).head(sample_size)
-        rng = np.random.default_rng([seed, number])
-        points = np.ascontiguousarray(chosen[names].to_numpy(float))
-        tree = tabulate(grow_tree(points, rng), width, budget)
-        return pd.DataFrame({"number": [number], "tree": [pickle.dumps(tuple(tree))]})
-
-    grown = (
-        sampled(df, features, key, params, rows)
-        .groupBy("tree")
-        .applyInPandas(grow, "number long, tree binary")
-    )
-    trees = tuple(Tree(*pickle.loads(tree)) for _, tree in sorted(grown.collect()))
+    # A small frame is counted whole; the sample is the same either way.
+    found = None
+    if rows > sketch_capacity(params, rows):
+        found = drawable(df, features, key, params, rows)
+    try:
+        drawn = sampled(df, features, key, params, rows, found and found.frame)
+        grown = _grown(drawn, list(features), params, sample_size).collect()
+    finally:
+        if found:
+            found.discard()
+    trees = tuple(Tree(*pickle.loads(tree)) for _, tree in sorted(grown))
     return ForestModel(tuple(features), sample_size, trees)
 
 
+def _grown(drawn: DataFrame, names: list[str], params: Params, sample_size: int) -> DataFrame:
+    """``number`` and ``tree``: the drawn rows of a few trees meet in each task."""
+    seed = params.seed
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(batches)
+        if not rows:
+            return
+        for number, group in pd.concat(rows).groupby("tree"):
+            chosen = group.sort_values(["place", *names]).head(sample_size)
+            points = np.ascontiguousarray(chosen[names].to_numpy(float))
+            tree = grow_tree(points, np.random.default_rng([seed, number]))
+            yield pd.DataFrame({"number": [number], "tree": [pickle.dumps(tuple(tree))]})
+
+    tasks = min(params.trees, drawn.sparkSession.sparkContext.defaultParallelism)
+    dealt = drawn.repartitionById(tasks, (F.col("tree") % tasks).cast("int"))
+    return dealt.mapInPandas(grow, "number long, tree binary")
+
+
 def row_counts(features: Sequence[str] = FEATURES) -> tuple[Column, Column]:
     """The aggregates ``fit_forest`` needs first: all rows, and those it cannot use."""
     finite = F.lit(True)
@@ -95,61 +101,11 @@ def usable_rows(counts: Row, features: Sequence[str] = FEATURES) -> int:
     return counts["rows"]
 
 
-def sampled(
-    df: DataFrame,
-    features: Sequence[str],
-    key: Sequence[str],
-    params: Params,
-    rows: int,
-) -> DataFrame:
-    """The rows each tree may grow from: ``tree``, the features and ``place``.
-
-    Every row has a slot for each tree, and a slot is drawn with the same small
-    probability, so that about twice ``max_samples`` rows meet at each tree (all rows,
-    if there are no more). ``place`` puts a tree's rows in a random order.
-
-    Equal rows are counted before anything is drawn, and the draw is a function of the
-    row's hash and its count. The sample thus depends on which rows there are and how
-    often, and on nothing else; copies of a reading enter it in proportion. Counting
-    combines within tasks and then moves the key and the features of the rest.
-    """
-    share = min(1.0, 2.0 * params.max_samples / max(rows, 1))
-    names, trees, seed = list(features), params.trees, params.seed
-    identity = [F.col(name) for name in key if name in df.columns and name not in names]
-    columns = [F.col(name).cast("double").alias(name) for name in names]
-    counted = (
-        df.select(F.xxhash64(F.lit(seed), *identity, *names).alias("code"), *columns)
-        .groupBy("code", *names)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    uniform = F.shiftrightunsigned("code", 11) * 2.0**-53
-    drawn = counted.where(
-        uniform < 1.0 - F.pow(F.lit(1.0 - share), F.col("copies") * trees)
-    )
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            slots = [
-                draw_slots(seed, code, copies * trees, share)
-                for code, copies in zip(batch["code"], batch["copies"], strict=True)
-            ]
-            repeated = batch.loc[batch.index.repeat([len(s) for s in slots])]
-            slot = np.concatenate([np.zeros(0, np.int64), *slots])
-            mixed = (slot.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            code = repeated["code"].to_numpy().astype(np.int64).view(np.uint64)
-            place = (code ^ mixed) * np.uint64(0xBF58476D1CE4E5B9)
-            place ^= place >> np.uint64(29)
-            yield repeated[names].assign(tree=slot % trees, place=place.view(np.int64))
-
-    types = ", ".join(f"{name} double" for name in names)
-    return drawn.mapInPandas(spread, f"{types}, tree long, place long")
-
-
 def outlier_score(df: DataFrame, model: ForestModel, column: str = "score") -> DataFrame:
     """Add the anomaly score in (0, 1]: 2 ** -(mean path length / expected length).
 
-    The trees are a broadcast, bounded by trees x samples and by ``TABLE_BUDGET`` for
-    their tables. Rows keep their place, so scoring neither joins nor shuffles.
+    The trees are a broadcast, bounded by trees x samples; a Python worker makes their
+    tables from it. Rows keep their place, so scoring neither joins nor shuffles.
     """
     scale = mean_path(model.sample_size)
     if scale == 0.0:  # at most one row was seen: every row is as odd as any other
