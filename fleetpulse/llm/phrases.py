@@ -131,8 +131,8 @@ class Reader:
         waiting: dict[str, list[bytes]] = {}
         size = 0
         for batch in batches:
-            langs, texts = (column.to_pylist() for column in batch.columns)
-            for lang, text in zip(langs, texts, strict=True):
+            for k in range(batch.num_rows):
+                lang, text = (column[k].as_py() for column in batch.columns)
                 data = text.encode().translate(LETTERS)
                 waiting.setdefault(lang, []).append(data)
                 size += len(data)
@@ -264,7 +264,9 @@ def hash_packets(texts: DataFrame, bits: int) -> DataFrame:
         masses: dict[int, int] = {}
 
         def emit(parts: list[np.ndarray]) -> Iterator:
-            codes, counts = combined(np.concatenate(parts))
+            codes = np.concatenate(parts)
+            parts.clear()
+            codes, counts = combined(codes)
             owner = (codes >> np.uint64(63 - bits)) >> np.uint64(1)
             ends = np.flatnonzero(np.diff(owner.astype(np.int64), prepend=-1))
             for low, high in zip(ends, np.append(ends[1:], len(codes)), strict=True):
