@@ -7,27 +7,43 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Values are summed as decimals of this many places, so the order of the rows does not
-# matter. A finite value of 1e22 or more, or a mean of 9e16, does not fit and raises.
+# A value is summed as three whole numbers, so the order of the rows does not matter:
+# two limbs of its whole part and its fraction to this many places. Values of 2 ** RANGE
+# and more raise; below, a group's sums have room for 2 ** 35 rows.
 PLACES = 8
-SUMMED = f"decimal(30,{PLACES})"
+LIMB = 24
+RANGE = 52
 
 
 def rounded_mean(value: Column, digits: int) -> Column:
     """Mean rounded half up, the same whatever order the rows are summed in.
 
     Adding doubles rounds at every step, so two partitionings of the same rows can
-    disagree in the last digit and land on either side of a rounding tie. Decimals
-    add exactly. A group with an infinite or NaN value has the plain mean, which does
-    not depend on the order either.
+    disagree in the last digit and land on either side of a rounding tie. Whole numbers
+    add exactly. A value out of range raises an error, whether or not the session's
+    arithmetic does. An infinite or NaN value makes the group's mean infinite or NaN.
     """
     finite = F.abs(value) < F.lit(math.inf)
-    # 26 digits before the point hold the sum of any group in range.
-    total = F.sum(F.when(finite, value).cast(SUMMED)).cast(f"decimal(34,{PLACES})")
-
-    # Whole-number division of |total| by rows * unit, half a unit up.
-    unit = F.lit(10.0**-digits).cast(f"decimal(9,{digits})")
+    number = F.when(
+        finite,
+        F.when(F.abs(value) < F.lit(2.0**RANGE), value).otherwise(
+            F.raise_error(F.concat(F.lit("too large for an exact mean: "), value.cast("string"))).cast("double")
+        ),
+    )
+    whole = F.floor(number)
+    high = F.shiftright(whole, LIMB)
+    low = whole.bitwiseAND(F.lit((1 << LIMB) - 1))
+    part = F.rint((number - whole) * F.lit(10.0**PLACES)).cast("long")
+
+    def total(limb: Column) -> Column:
+        return F.sum(limb).cast("decimal(38,0)")
+
+    scale = F.lit(10**PLACES).cast("decimal(9,0)")
+    units = (total(high) * F.lit(1 << LIMB).cast("decimal(8,0)") + total(low)) * scale + total(part)
+    # Whole-number division of |units| by rows * unit, half a unit up.
+    unit = F.lit(10 ** (PLACES - digits)).cast(f"decimal({PLACES - digits + 1},0)")
     span = F.nullif(F.count(value), F.lit(0)).cast("decimal(17,0)") * unit
-    units = F.call_function("div", F.abs(total) * 2 + span, span * 2)
-    exact = F.when(total < 0, -units).otherwise(units) / F.lit(float(10**digits))
-    return F.when(F.count_if(value.isNotNull() & ~finite) > 0, F.avg(value)).otherwise(exact)
+    steps = F.call_function("div", F.abs(units) * 2 + span, span * 2)
+    exact = F.when(units < 0, -steps).otherwise(steps) / F.lit(float(10**digits))
+    endless = F.sum(F.when(~finite, value))
+    return F.coalesce(endless, exact)

@@ -147,10 +147,18 @@ def test_one_large_value_changes_no_order(spark):
         assert mean == [(round(exact + 1e-9, 2),)]
 
 
-def test_values_beyond_the_range_raise(spark):
-    df = spark.createDataFrame([(at(1), 1e23, 1)], POWER)
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range|cannot be represented"):
-        summarize_power(df).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("values", [[1e23, 1.0, 3.0], [2.0**52], [-1e300]])
+def test_values_beyond_the_range_raise(spark, ansi, values):
+    df = spark.createDataFrame([(at(1), v, 1) for v in values], POWER)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="too large for an exact mean"):
+            summarize_power(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
 
 
 def test_nan_gives_nan(spark):
