@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.functions import readings
+from fleetpulse.functions import moments, readings
 from fleetpulse.params import Params
 
 
@@ -15,14 +15,12 @@ def with_expected_power(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def with_residual(df: DataFrame) -> DataFrame:
-    return df.withColumn("error", F.col("power_output") - F.col("expected_power"))
+def residual() -> Column:
+    return F.col("power_output") - F.col("expected_power")
 
 
-def residual_spread() -> Column:
-    """Mean and sample deviation of the residual, as one aggregate."""
-    error = F.col("power_output") - F.col("expected_power")
-    return F.struct(F.avg(error).alias("mean"), F.stddev_samp(error).alias("deviation"))
+def with_residual(df: DataFrame) -> DataFrame:
+    return df.withColumn("error", residual())
 
 
 def flag_zscore(
@@ -32,12 +30,13 @@ def flag_zscore(
 
     Mean and deviation come from one scalar subquery: a column-pruned partial
     aggregation whose single row is inlined as a literal, so the rows themselves
-    are neither joined nor shuffled. A caller that knows them hands them in as
-    ``spread``. With an undefined deviation nothing is flagged.
+    are neither joined nor shuffled. They are exact, so no order of the rows moves a
+    reading over the threshold. A caller that knows them hands them in as ``spread``.
+    With an undefined deviation nothing is flagged.
     """
     with_error = with_residual(df)
     if spread is None:
-        spread = with_error.select(residual_spread()).scalar()
+        spread = moments.spread(df, residual())
     distance = F.abs(F.col("error") - spread["mean"])
     return with_error.withColumn(
         "z_anomaly",
@@ -53,5 +52,4 @@ def round_power(df: DataFrame, digits: int = 2) -> DataFrame:
             for name in ("power_output", "expected_power")
         }
     )
-    error = F.col("power_output") - F.col("expected_power")
-    return rounded.withColumn("error", F.round(error, digits))
+    return rounded.withColumn("error", F.round(residual(), digits))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse.functions.moments import moment_sums, moments, with_limbs
 from fleetpulse.operators.fleet import combine_flags, drop_rated_faulty, rate_turbines
 from fleetpulse.operators.forest import (
     KEY,
@@ -23,7 +24,7 @@ from fleetpulse.operators.forest import (
 )
 from fleetpulse.operators.power import (
     flag_zscore,
-    residual_spread,
+    residual,
     round_power,
     with_expected_power,
 )
@@ -187,8 +188,9 @@ def build_gold(
     instead of every reading.
     """
     powered = with_expected_power(readings, params)
-    first = powered.agg(*row_counts(), residual_spread().alias("spread")).first()
-    mean, deviation = (F.lit(x).cast("double") for x in first["spread"])
+    limbs = with_limbs(powered, residual())
+    first = limbs.agg(*row_counts(), *moment_sums()).first()
+    mean, deviation = (F.lit(x).cast("double") for x in moments(first))
     spread = F.struct(mean.alias("mean"), deviation.alias("deviation"))
     if model is None:
         model = fit_forest(powered, params, key=key, rows=usable_rows(first))

@@ -69,7 +69,7 @@ def test_no_join_no_shuffle_of_rows_and_one_pass_for_statistics(spark, tmp_path)
     df = flag_zscore(spark.read.parquet(f"{tmp_path}/r"))
     assert "Join" not in plan(df)
     text = final_plan(df)
-    assert text.count("stddev_samp") >= 1
+    assert "partial_try_sum" in text
     assert "ReusedSubquery" in text
 
 
