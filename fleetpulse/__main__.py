@@ -23,6 +23,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--catalog", help="catalog to make current first")
     parser.add_argument("--mode", default="overwrite", choices=("overwrite", "append"),
                         help="how gold tables are written")
+    parser.add_argument("--run-id", help="keep gold tables by run; saving a run again replaces it")
     parser.add_argument("--config", type=json.loads, default={},
                         help='parameters as JSON, e.g. {"zscore_threshold": 3.0}')
     chosen = parser.parse_args(arguments)
@@ -52,9 +53,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif chosen.layer == "silver":
         run_silver(spark, params, layers)
     elif chosen.layer == "gold":
-        run_gold(spark, params, layers, chosen.mode)
+        run_gold(spark, params, layers, chosen.mode, run_id=chosen.run_id)
     else:
-        run_all(spark, chosen.raw, params, layers, chosen.mode)
+        run_all(spark, chosen.raw, params, layers, chosen.mode, run_id=chosen.run_id)
 
 
 if __name__ == "__main__":

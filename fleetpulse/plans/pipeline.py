@@ -35,9 +35,16 @@ from fleetpulse.operators.silver import (
 )
 from fleetpulse.operators.summary import summarize_power
 from fleetpulse.params import Params
-from fleetpulse.sources.feeds import read_fleet_feed, read_site_feed
+from fleetpulse.sources.feeds import UNREADABLE, read_fleet_feed, read_site_feed
 from fleetpulse.sources.staging import Staged, stage
-from fleetpulse.sources.tables import create_schema, save_table, use_catalog
+from fleetpulse.sources.tables import (
+    RUN,
+    create_schema,
+    remove_run,
+    save_run,
+    save_table,
+    use_catalog,
+)
 
 log = logging.getLogger(__name__)
 
@@ -80,15 +87,31 @@ class Layers:
     def summary(self) -> str:
         return f"{self.gold}.gold_turbine_summary"
 
-    def save(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
+    @property
+    def runs(self) -> str:
+        return f"{self.gold}.gold_turbine_runs"
+
+    def save(
+        self, df: DataFrame, table: str, mode: str = "overwrite", run_id: str | None = None
+    ) -> None:
         location = None
         if self.root:
             schema = table.rpartition(".")[0]
             create_schema(df.sparkSession, schema, f"{self.root}/{schema}")
             location = f"{self.root}/{table.replace('.', '/')}"
-        save_table(df, table, mode, self.fmt, location)
+        if run_id is None:
+            save_table(df, table, mode, self.fmt, location)
+        else:
+            save_run(df, table, run_id, self.fmt, location)
         log.info("saved %s", table)
 
+    def finished(self, spark: SparkSession, table: str) -> DataFrame:
+        """The rows of a gold table that belong to finished runs.
+
+        While a run is being saved, or after it failed, none of its rows is among them.
+        """
+        return spark.table(table).join(spark.table(self.runs).select(RUN), RUN, "left_semi")
+
     def enter(self, spark: SparkSession) -> None:
         if self.catalog:
             use_catalog(spark, self.catalog)
@@ -97,14 +120,14 @@ class Layers:
 def run_bronze(
     spark: SparkSession, folder: str, layers: Layers = Layers()
 ) -> dict[str, int]:
-    """Raw files to tables; the rows of each feed.
+    """Raw files to tables; the rows of each feed and how many had unreadable cells.
 
     Site ids start after the ids of the saved fleet feed.
     """
     layers.enter(spark)
-    fleet, fleet_rows = _counted(read_fleet_feed(spark, folder), "fleet")
+    fleet, fleet_rows = _counted(read_fleet_feed(spark, folder, unreadable=True), "fleet")
     layers.save(fleet, layers.fleet_feed)
-    sites, site_rows = _counted(read_site_feed(spark, folder), "sites")
+    sites, site_rows = _counted(read_site_feed(spark, folder, unreadable=True), "sites")
     numbered = assign_site_ids(sites, spark.table(layers.fleet_feed))
     layers.save(numbered, layers.site_feed)
     return _report(fleet_rows, site_rows)
@@ -129,14 +152,26 @@ def run_gold(
     layers: Layers = Layers(),
     mode: str = "overwrite",
     model: ForestModel | None = None,
+    run_id: str | None = None,
 ) -> None:
-    """Flags, ratings, the readings of sound turbines, and their daily summary."""
+    """Flags, ratings, the readings of sound turbines, and their daily summary.
+
+    With a ``run_id`` the tables are partitioned by run, and ``mode`` is of no account:
+    saving a run appends it, or replaces what an earlier attempt of the same run left.
+    The run is noted in a table of its own when all three are saved, which publishes
+    them together (see ``Layers.finished``).
+    """
     layers.enter(spark)
     gold = build_gold(spark.table(layers.readings), params, model=model)
     try:
-        layers.save(gold.ratings, layers.ratings, mode)
-        layers.save(gold.analysis, layers.analysis, mode)
-        layers.save(gold.summary, layers.summary, mode)
+        if run_id is not None:
+            remove_run(spark, layers.runs, run_id)
+        layers.save(gold.ratings, layers.ratings, mode, run_id)
+        layers.save(gold.analysis, layers.analysis, mode, run_id)
+        layers.save(gold.summary, layers.summary, mode, run_id)
+        if run_id is not None:
+            now = spark.range(1).select(F.current_timestamp().alias("finished_at"))
+            layers.save(now, layers.runs, run_id=run_id)
     finally:
         gold.release()
 
@@ -148,11 +183,12 @@ def run_all(
     layers: Layers = Layers(),
     mode: str = "overwrite",
     model: ForestModel | None = None,
+    run_id: str | None = None,
 ) -> dict[str, int]:
     """All three layers; the row counts of the first two."""
     counts = run_bronze(spark, folder, layers)
     counts |= run_silver(spark, params, layers)
-    run_gold(spark, params, layers, mode, model)
+    run_gold(spark, params, layers, mode, model, run_id)
     return counts
 
 
@@ -216,8 +252,10 @@ def build_gold(
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as the job that uses ``df`` runs, rather than in a job of its own."""
-    rows = Observation(name)
-    return df.observe(rows, F.count(F.lit(1)).alias(name)), rows
+    rows, counts = Observation(name), [F.count(F.lit(1)).alias(name)]
+    if UNREADABLE in df.columns:
+        counts.append(F.count(UNREADABLE).alias(f"{name}_unreadable"))
+    return df.observe(rows, *counts).drop(UNREADABLE), rows
 
 
 def _report(*observations: Observation) -> dict[str, int]:

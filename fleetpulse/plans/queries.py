@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from typing import Any
 
 import numpy as np
@@ -41,6 +41,7 @@ from fleetpulse.operators.silver import (
     clean_readings,
     merge_feeds,
     standardize_site_feed,
+    void_negative_power,
 )
 from fleetpulse.operators.summary import summarize_power
 from fleetpulse.params import Params
@@ -372,11 +373,17 @@ class OwnLayers:
         discard(self.spark, self.layers.root)
 
 
-def _own_layers(spark: SparkSession, folder: str) -> OwnLayers:
+def _own_layers(
+    spark: SparkSession,
+    folder: str,
+    write: Callable[[DataFrame, str], None] | None = None,
+    catalog: str | None = None,
+) -> OwnLayers:
     run = uuid.uuid4().hex
     names = (f"{layer}_{run}" for layer in ("bronze", "silver", "gold"))
-    own = owned(OwnLayers(spark, Layers(*names, root=fresh_path(spark, "layers"))))
-    write_raw_files(table(spark, folder, "events"), own.raw)
+    layers = Layers(*names, root=fresh_path(spark, "layers"), catalog=catalog)
+    own = owned(OwnLayers(spark, layers))
+    (write or write_raw_files)(table(spark, folder, "events"), own.raw)
     return own
 
 
@@ -437,6 +444,131 @@ def q_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "feed string, n_rows long")
 
 
+def q_negative_power_voided(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = event_readings(spark, folder).withColumn("power_output", F.col("power_output") - 25)
+    return void_negative_power(shifted).select("event_id", "power_output")
+
+
+def write_odd_files(events: DataFrame, folder: str) -> None:
+    """Two fleet files and two site files whose headers differ in order, with bad cells.
+
+    Odd and even events are the two files of each feed. In fleet files every fiftieth
+    wind speed cannot be read, in site files every fortieth power.
+    """
+    number = props_number()
+    fleet = events.where(F.col("event_type") == "view").select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("user_id").alias("turbine_id"),
+        F.when(F.col("event_id") % 50 == 0, "n/a").otherwise((number * 0.25).cast("string")).alias("wind_speed"),
+        (number * 3.0).alias("wind_direction"),
+        (F.col("value") - 25).alias("power_output"),
+    )
+    sites = site_rows(events.where(F.col("event_type") != "view")).withColumn(
+        "Power", F.when(F.col("event_id") % 40 == 0, "bad").otherwise(F.col("Power").cast("string"))
+    )
+    for rows, names, hidden in (
+        (fleet, ("data_group_1.csv", "data_group_2.csv"), ("event_id",)),
+        (sites, ("Location1.csv", "location2.csv"), ("event_id", "event_type")),
+    ):
+        columns = [name for name in rows.columns if name not in hidden]
+        for odd, name in enumerate(names):
+            part = rows.where(F.col("event_id") % 2 == odd)
+            ordered = part.select(*(columns[::-1] if odd else columns))
+            ordered.write.option("header", True).csv(f"{folder}/{name}")
+
+
+def _odd_layers(spark: SparkSession, folder: str) -> OwnLayers:
+    return _own_layers(spark, folder, write_odd_files)
+
+
+def q_odd_files_to_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with other column orders and bad cells, through to the silver table."""
+    own = _odd_layers(spark, folder)
+    run_bronze(spark, own.raw, own.layers)
+    run_silver(spark, layers=own.layers)
+    return spark.table(own.layers.readings).select(
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        F.col("turbine_id").cast("long").alias("turbine_id"),
+        "wind_speed",
+        "wind_direction",
+        F.round("power_output", 6).alias("power_output"),
+    )
+
+
+def q_unreadable_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """How many records of each feed had cells that cannot be read."""
+    own = _odd_layers(spark, folder)
+    counts = run_bronze(spark, own.raw, own.layers) | run_silver(spark, layers=own.layers)
+    return spark.createDataFrame(sorted(counts.items()), "feed string, n_rows long")
+
+
+class BrokenLayers(Layers):
+    """Layers whose analysis cannot be saved."""
+
+    def save(self, df: DataFrame, table: str, *arguments: Any, **options: Any) -> None:
+        if table == self.analysis:
+            raise OSError("the second table of a gold run cannot be saved")
+        super().save(df, table, *arguments, **options)
+
+
+def q_rerun_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings of finished runs: one failed at its second table and ran again, one
+    only failed, and one ran twice."""
+    own = _own_layers(spark, folder)
+    layers, model = own.layers, FILE_FOREST.model()
+    broken = BrokenLayers(**{f.name: getattr(layers, f.name) for f in fields(layers)})
+    run_bronze(spark, own.raw, layers)
+    run_silver(spark, layers=layers)
+    for run_id, chosen in (
+        ("again", broken), ("again", layers), ("failed", broken), ("twice", layers), ("twice", layers),
+    ):
+        try:
+            run_gold(spark, GOLD_PARAMS, chosen, model=model, run_id=run_id)
+        except OSError:
+            if chosen is layers:
+                raise
+    saved = layers.finished(spark, layers.ratings)
+    return saved.withColumn("turbine_id", F.col("turbine_id").cast("long"))
+
+
+def q_layers_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in the silver table of a named catalog, and its schemas after a reset."""
+    own = _own_layers(spark, folder, catalog="spark_catalog")
+    names = (own.layers.bronze, own.layers.silver, own.layers.gold)
+    run_bronze(spark, own.raw, own.layers)
+    run_silver(spark, layers=own.layers)
+    kept = stage(spark.table(f"spark_catalog.{own.layers.readings}").groupBy().count(), "rows")
+    drop_schemas(spark, *names)
+    left = sum(spark.catalog.databaseExists(name) for name in names)
+    rows = owned(kept).frame.select(F.lit("readings").alias("step"), F.col("count").alias("n"))
+    return rows.withColumn("schemas_left", F.lit(left).cast("long"))
+
+
+def q_gold_grown(spark: SparkSession, folder: str) -> DataFrame:
+    """The gold layer with a forest grown from its rows: what holds for every such forest.
+
+    Rows far from all others are flagged, and no more rows than the share are by the
+    forest; all rows are rated, and all with a turbine that is not faulty are kept.
+    """
+    far = F.col("event_id") % 100 == 0
+    readings = clean_readings(event_readings(spark, folder)).withColumns(
+        {
+            "wind_speed": F.when(far, F.col("wind_speed") + 900.0).otherwise(F.col("wind_speed")),
+            "power_output": F.when(far, 9e6).otherwise(F.col("power_output")),
+        }
+    )
+    params = Params(faulty_rate=1.0)  # no turbine can pass it
+    gold = owned(build_gold(readings, params, key=ROW_KEY))
+    rated = gold.ratings.agg(F.sum("total_records").alias("n_rated"), F.count(F.lit(1)).alias("n_turbines"))
+    kept = gold.analysis.agg(
+        F.count(F.lit(1)).alias("n_kept"),
+        (F.sum("if_anomaly") <= F.ceil(F.count(F.lit(1)) * 0.15)).alias("within_share"),
+        F.sum(F.when(far, F.col("if_anomaly"))).alias("n_far_flagged"),
+    )
+    return rated.join(F.broadcast(kept))  # one row each
+
+
 _owned: dict[str, list[Any]] = {}
 _running: list[list[Any]] = []
 
@@ -496,6 +628,12 @@ QUERIES: dict[str, Query] = {
     "saved_analysis": q_saved_analysis,
     "ratings_appended": q_ratings_appended,
     "row_counts": q_row_counts,
+    "negative_power_voided": q_negative_power_voided,
+    "odd_files_to_silver": q_odd_files_to_silver,
+    "unreadable_rows": q_unreadable_rows,
+    "rerun_after_failure": q_rerun_after_failure,
+    "layers_reset": q_layers_reset,
+    "gold_grown": q_gold_grown,
 }
 QUERIES = {name: owning(name, query) for name, query in QUERIES.items()}
 
@@ -787,6 +925,58 @@ SQL |= {
         UNION ALL SELECT 'sites', count(*) FROM events WHERE event_type <> 'view'
         UNION ALL SELECT 'kept', count(*) FROM events
           WHERE event_type <> 'view' OR value >= 25
+        UNION ALL SELECT 'fleet_unreadable', 0
+        UNION ALL SELECT 'sites_unreadable', 0
+    """,
+    "negative_power_voided": """
+        SELECT event_id, CASE WHEN value - 25 >= 0 THEN value - 25 END AS power_output
+        FROM events
+    """,
+    "odd_files_to_silver": """
+        WITH t AS (
+          SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS k
+          FROM events),
+        m AS (SELECT max(user_id) AS off FROM events WHERE event_type = 'view'),
+        u AS (
+          SELECT ts AS timestamp, user_id AS turbine_id, k * 0.25 AS wind_speed,
+            k * 3 AS wind_direction, value - 25 AS power_output
+          FROM t WHERE event_type = 'view' AND event_id % 50 <> 0
+          UNION ALL
+          SELECT date_trunc('second', ts), off + 1 + event_id % 2, value, k * 3,
+            k * 0.01::DOUBLE * 4.5::DOUBLE
+          FROM t, m WHERE event_type <> 'view' AND event_id % 40 <> 0)
+        SELECT timestamp, turbine_id, wind_speed, wind_direction,
+          round(power_output::VARCHAR::DECIMAL(38,18), 6)::DOUBLE AS power_output
+        FROM u WHERE power_output >= 0
+    """,
+    "unreadable_rows": """
+        SELECT 'fleet' AS feed, count(*) AS n_rows FROM events WHERE event_type = 'view'
+        UNION ALL SELECT 'sites', count(*) FROM events WHERE event_type <> 'view'
+        UNION ALL SELECT 'fleet_unreadable', count(*) FROM events
+          WHERE event_type = 'view' AND event_id % 50 = 0
+        UNION ALL SELECT 'sites_unreadable', count(*) FROM events
+          WHERE event_type <> 'view' AND event_id % 40 = 0
+        UNION ALL SELECT 'kept', count(*) FROM events
+          WHERE CASE WHEN event_type = 'view' THEN value >= 25 AND event_id % 50 <> 0
+            ELSE event_id % 40 <> 0 END
+    """,
+    "rerun_after_failure": _gold_sql(
+        _FILE_SOURCE,
+        FILE_FOREST,
+        "SELECT r.*, run_id FROM r, (VALUES ('again'), ('twice')) AS runs(run_id)",
+    ),
+    "layers_reset": """
+        SELECT 'readings' AS step, count(*) AS n, CAST(0 AS BIGINT) AS schemas_left
+        FROM events WHERE event_type <> 'view' OR value >= 25
+    """,
+    "gold_grown": """
+        WITH t AS (SELECT * FROM events WHERE value >= 0 AND ts IS NOT NULL)
+        SELECT CAST(count(*) AS BIGINT) AS n_rated,
+          count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END)
+            AS n_turbines,
+          count(user_id) AS n_kept, true AS within_share,
+          CAST(count(user_id) FILTER (WHERE event_id % 100 = 0) AS BIGINT) AS n_far_flagged
+        FROM t
     """,
     "forest_flags": """
         SELECT count(*) AS n_rows, true AS within_share,

@@ -62,11 +62,49 @@ def test_undeclared_column_stays_text(spark, tmp_path):
     assert rows(read_fleet_feed(spark, str(tmp_path))) == [(1, "007")]
 
 
-def test_files_with_another_column_order_are_refused(spark, tmp_path):
+def test_files_are_matched_by_the_names_in_their_headers(spark, tmp_path):
     write(tmp_path, "data_group_1.csv", "turbine_id,wind_speed", "1,5")
-    write(tmp_path, "data_group_2.csv", "wind_speed,turbine_id", "5,1")
-    with pytest.raises(Exception, match="CSV header"):
-        read_fleet_feed(spark, str(tmp_path)).collect()
+    write(tmp_path, "data_group_2.csv", "wind_speed,turbine_id", "6,2")
+    write(tmp_path, "data_group_3.csv", "note,turbine_id,wind_speed", "late,3,7")
+    write(tmp_path, "data_group_4.csv", "")
+    feed = read_fleet_feed(spark, str(tmp_path))
+    assert rows(feed, "turbine_id", "wind_speed", "note") == [(1, 5.0, None), (2, 6.0, None), (3, 7.0, "late")]
+
+
+def test_site_files_with_other_column_orders(spark, tmp_path):
+    site(tmp_path, "Location1.csv")
+    turned = ",".join(reversed(SITE_HEADER.split(",")))
+    write(tmp_path, "location 2.csv", turned, "0.25,8,7,6,5,4,3,2,1,2021-01-01 13:00:00")
+    write(tmp_path, "Location{3}.csv", turned, "bad,8,7,6,5,4,3,2,1,2021-01-01 13:00:00")
+    feed = read_site_feed(spark, str(tmp_path), unreadable=True)
+    name = F.regexp_extract("source_file", "([^/]+)$", 1)
+    assert rows(feed, "Power", "temperature_2m", "windgusts_10m", F.col("unreadable_record").isNotNull()) == [
+        (0.25, 1.0, 8.0, False), (0.5, 1.0, 8.0, False), (None, 1.0, 8.0, True),
+    ]
+    assert feed.select(name).distinct().count() == 3
+    assert read_site_feed(spark, str(tmp_path)).columns == [*SITE_HEADER.split(","), "source_file"]
+
+
+def test_files_without_a_declared_column_of_others_are_refused(spark, tmp_path):
+    write(tmp_path, "data_group_1.csv", "turbine_id,wind_speed", "1,5")
+    write(tmp_path, "data_group_2.csv", "turbine_id", "2")
+    with pytest.raises(ValueError, match="CSV headers of .* have different columns: turbine_id and turbine_id, wind_speed"):
+        read_fleet_feed(spark, str(tmp_path))
+
+
+def test_equal_headers_are_one_scan(spark, tmp_path):
+    for number in range(5):
+        write(tmp_path, f"data_group_{number}.csv", "turbine_id,wind_speed", f"{number},5")
+    text = plan(read_fleet_feed(spark, str(tmp_path)))
+    assert text.count("Scan csv") == 2 and "Union" not in text  # once in the tree, once below
+
+
+def test_unreadable_records_are_told(spark, tmp_path):
+    lines = ["1,5,2", "x,5,2", "2,,2", "3,fast,2", "4,5", "5,6,7,8"]
+    write(tmp_path, "data_group_1.csv", "turbine_id,wind_speed,power_output", *lines)
+    feed = read_fleet_feed(spark, str(tmp_path), unreadable=True)
+    found = rows(feed.cache(), "unreadable_record")
+    assert found == [("3,fast,2",), ("4,5",), ("5,6,7,8",), ("x,5,2",), (None,), (None,)]
 
 
 def test_only_read_columns_are_parsed(spark, tmp_path):

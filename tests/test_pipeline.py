@@ -170,7 +170,7 @@ def test_staged_files_go_even_when_saving_fails(spark, layers, monkeypatch, tmp_
     before = spark.conf.get("spark.checkpoint.dir") + "/fleetpulse"
     kept = set(os.listdir(before))
 
-    def refuse(self, df, table, mode="overwrite"):
+    def refuse(self, df, table, *_, **__):
         raise OSError("no space")
 
     monkeypatch.setattr(Layers, "save", refuse)
@@ -217,3 +217,42 @@ def test_table_names():
     assert layers.ratings == "gold_data.gold_turbine_stats"
     assert layers.analysis == "gold_data.gold_turbine_analysis"
     assert layers.summary == "gold_data.gold_turbine_summary"
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_run_saved_again_replaces_itself(spark, tmp_path, layers, external, monkeypatch):
+    if external:
+        layers = Layers(layers.bronze, layers.silver, layers.gold, root=str(tmp_path / "lake"))
+    run_bronze(spark, raw_folder(tmp_path), layers)
+    run_silver(spark, PARAMS, layers)
+    run_gold(spark, PARAMS, layers, run_id="a")
+    once = {t: rows(spark.table(t).drop("run_id")) for t in (layers.ratings, layers.analysis, layers.summary)}
+    real = Layers.save
+
+    def fail_second(self, df, table, *arguments, **options):
+        if table == layers.analysis:
+            raise OSError("no space")
+        return real(self, df, table, *arguments, **options)
+
+    for run_id in ("a", "b"):  # a run that was finished before, and a new one
+        monkeypatch.setattr(Layers, "save", fail_second)
+        with pytest.raises(OSError, match="no space"):
+            run_gold(spark, PARAMS, layers, run_id=run_id)
+        monkeypatch.setattr(Layers, "save", real)
+        done = 0 if run_id == "a" else 1
+        for table, expected in once.items():
+            assert rows(layers.finished(spark, table).drop("run_id")) == sorted(expected * done, key=repr)
+        run_gold(spark, PARAMS, layers, run_id=run_id)
+        for table, expected in once.items():
+            assert rows(layers.finished(spark, table).drop("run_id")) == sorted(expected * (done + 1), key=repr)
+            assert spark.table(table).count() == len(expected) * (done + 1)
+
+
+def test_a_run_without_rows_replaces_one_with_rows(spark, layers):
+    frame = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    layers.save(frame, layers.ratings, run_id="o'clock")
+    layers.save(frame.limit(0), layers.ratings, run_id="o'clock")
+    assert spark.table(layers.ratings).count() == 0
+    layers.save(frame, layers.ratings, run_id="next")
+    with pytest.raises(ValueError, match="not a table of such runs"):
+        layers.save(frame.drop("v"), layers.ratings, run_id="next")
