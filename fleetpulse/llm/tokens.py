@@ -1,7 +1,8 @@
 """Token ids of whole texts, piece by piece through a bounded cache.
 
-The ids are those of the byte-level vocabulary ``byte_bpe_50k.json`` with special
-strings taken as ordinary text. Its pattern never joins what stands on both sides of a
+The ids are those that the ``tokenizers`` library gives with the byte-level vocabulary
+``byte_bpe_50k.json`` as it is: the vocabulary's one special string has an id of its own
+wherever it stands, and the text on each side is encoded by itself. Its pattern never joins what stands on both sides of a
 lone space, so a text is cut before such spaces and every piece is encoded once while
 the cache holds it. New pieces go through the same vocabulary's rank file, which
 ``tests/llm`` holds against the ``tokenizers`` library text by text.
@@ -18,6 +19,8 @@ from fleetpulse.llm.shared import by_value, once
 by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The vocabulary's special string and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 # Pieces one worker keeps, about 100 MB; a full cache is emptied, never fixed.
 CACHE_PIECES = 400_000
 
@@ -70,10 +73,14 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if SPECIAL in text:
+            return struct.pack("<I", SPECIAL_ID).join(map(self.encode, text.split(SPECIAL)))
         first, *rest = pieces(text)
         return self.first(first) + b"".join(map(self.bytes_of.__getitem__, rest))
 
     def count(self, text: str) -> int:
+        if SPECIAL in text:
+            return text.count(SPECIAL) + sum(map(self.count, text.split(SPECIAL)))
         first, *rest = pieces(text)
         return self.count_first(first) + sum(map(self.count_of.__getitem__, rest))
 

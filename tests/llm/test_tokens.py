@@ -16,15 +16,13 @@ from tests.llm.helpers import FOLDER, documents, sample
 
 ROWS = [
     (1, None), (2, ""), (3, "a"), (4, "word " * 9000), (None, "no id"), (3, "a"), (5, " \n\t  x  y "),
-    (6, "<|endoftext|> is text"), (7, "don't  stop here \x1c z"), (8, "é" * 5000), (9, "1 22 333 !!"),
+    (6, "<|endoftext|> is special"), (10, "a <|endoftext|> b"), (11, "<|endoftext|>" * 3000), (12, "in<|endoftext|>word"), (7, "don't  stop here \x1c z"), (8, "é" * 5000), (9, "1 22 333 !!"),
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids(tokenizer, text):
