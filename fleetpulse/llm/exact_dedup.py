@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.shared import keep, partitions, shared_path, table, whole_text
+from fleetpulse.llm.shared import exists, keep, partitions, shared_path, table, whole_text
 
 ENTRY = "digest BINARY, keep_id BIGINT, row_no BIGINT, batch STRING"
 
@@ -30,12 +30,13 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """The bucketed table at ``path``; opening an existing path goes on with it.
 
-    ``buckets`` is fixed when the index is made and must be given again to reopen it.
+    The number of buckets is fixed when the index is made and kept in its folder, from
+    where it is taken again; asking for another number is refused.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or partitions(spark)
+        self.buckets = self._fixed_buckets(buckets)
         self.name = "digest_index_" + hashlib.md5(path.encode()).hexdigest()
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({ENTRY}) USING parquet "
@@ -43,6 +44,24 @@ class DigestIndex:
             f"LOCATION '{path}'"
         )
 
+    def _fixed_buckets(self, asked: int | None) -> int:
+        # Names with an underscore in front are not read as part of the table.
+        place = f"{self.path}/_buckets"
+        if exists(self.spark, place):
+            fixed = self.spark.read.schema("buckets INT").json(place).first().buckets
+            if asked and asked != fixed:
+                raise ValueError(f"the index at {self.path} has {fixed} buckets, not {asked}")
+            return fixed
+        buckets = asked or partitions(self.spark)
+        if exists(self.spark, self.path):
+            raise ValueError(f"{self.path} holds no index that tells its number of buckets")
+        self.spark.range(1).select(F.lit(buckets).alias("buckets")).write.json(place)
+        return buckets
+
+    def close(self) -> None:
+        """Forget the table's name; the index itself stays at its path."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def table(self) -> DataFrame:
         """Read bucket by bucket: a join on the digest moves none of it."""
         return self.spark.table(self.name)
@@ -148,6 +167,7 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     for part in (docs.where(upper), docs.where(~upper)):
         rows = digest_rows(part)
         batches.append((admit(rows, index), rows))
+    index.close()
     return verdicts(batches, index)
 
 

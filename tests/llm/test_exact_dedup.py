@@ -55,6 +55,21 @@ def test_later_batches_keep_only_new_texts(spark, buckets):
     assert again.table().count() == 3
 
 
+def test_an_index_keeps_its_buckets_when_opened_anew(spark):
+    """Another session does not know the table and may have other defaults."""
+    known = [(i, f"text {i}") for i in range(200)]
+    first = index(spark, buckets=4)
+    keep_new(documents(spark, known), first).count()
+    first.close()
+    with pytest.raises(ValueError, match="has 4 buckets, not 7"):
+        DigestIndex(spark, first.path, 7)
+    again = DigestIndex(spark, first.path)
+    assert again.buckets == 4
+    assert keep_new(documents(spark, known), again).count() == 0
+    assert again.entries().count() == again.table().count() == 200
+    again.close()
+
+
 def test_index_is_joined_on_its_buckets(spark, capsys):
     own = index(spark, buckets=4)
     deduplicate(documents(spark, [(1, "a")]), own).collect()
