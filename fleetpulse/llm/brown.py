@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,9 @@ COUNT_CLASSES = 64
 # Weight, in tokens, of the unconditioned class share in a class's transitions.
 PRIOR = 5.0
 END_WORD = 0
+END_MARK = b"\xff"
+# Text whose tokens a task handles at once.
+READ_BYTES = 4 << 20
 
 TOTALS = "part INT, bucket INT, data BINARY"
 PAIRS = "code BIGINT, n BIGINT"
@@ -85,15 +89,47 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(code % FOLDS == HELD_OUT, F.lit(False))
 
 
-def token_hashes(text: bytes) -> np.ndarray:
-    """The words' hashes and the end token's."""
+class Tokens(NamedTuple):
+    """The tokens of some texts in a row, each text's end token included."""
+
+    words: np.ndarray  # the hash of each different token
+    at: np.ndarray  # each token's place among them
+    each: np.ndarray  # tokens by text
+
+
+def read_tokens(texts: list[bytes]) -> Iterator[Tokens]:
+    """The texts' tokens, for as many texts at a time as hold ``READ_BYTES`` or so."""
+    waiting: list[bytes] = []
+    size = 0
+    for text in texts:
+        waiting.append(text)
+        size += len(text)
+        if size >= READ_BYTES:
+            yield tokens_of(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield tokens_of(waiting)
+
+
+def tokens_of(texts: list[bytes]) -> Tokens:
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()
-    hashes = np.empty(len(words) + 1, U64)
-    hashes[:-1] = np.fromiter(map(xxh64_intdigest, words), U64, len(words)) | U64(1)
-    hashes[-1] = END_WORD
-    return hashes
+    # A text ends with a byte that is in no UTF-8 text, which stands for the end token.
+    letters = np.frombuffer((END_MARK.join(texts) + END_MARK).lower(), np.uint8)
+    ends = letters == END_MARK[0]
+    inside = ~(ends | (letters == 32) | ((letters >= 9) & (letters <= 13)))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, stops = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(stops - starts, out=offsets[1:])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters[inside])]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers)
+    encoded = found.dictionary_encode()
+    words = encoded.dictionary.to_pylist()
+    hashes = np.fromiter(map(xxh64_intdigest, words), U64, len(words)) | U64(1)
+    after = np.searchsorted(starts, np.flatnonzero(ends))
+    at = np.insert(encoded.indices.to_numpy().astype(np.int64), after, len(words))
+    return Tokens(np.append(hashes, U64(END_WORD)), at, np.diff(after, prepend=0) + 1)
 
 
 def send_counts(texts: DataFrame) -> DataFrame:
@@ -104,10 +140,15 @@ def send_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             column, trained = batch.column("text"), batch.column("trained").to_numpy()
             for part, rows in by_part(batch):
-                found = [token_hashes(column[int(i)].as_py()) for i in rows]
-                weights = np.repeat(trained[rows], [len(x) for x in found])
+                found, amounts, low = [], [], 0
+                for tokens in read_tokens([column[int(i)].as_py() for i in rows]):
+                    high = low + len(tokens.each)
+                    weights = np.repeat(trained[rows[low:high]], tokens.each)
+                    found.append(tokens.words)
+                    amounts.append(np.bincount(tokens.at, weights, len(tokens.words)))
+                    low = high
                 keys, place = np.unique(np.concatenate(found), return_inverse=True)
-                counts = np.bincount(place, weights, len(keys)).astype(np.int64)
+                counts = np.bincount(place, np.concatenate(amounts), len(keys)).astype(np.int64)
                 yield as_batch(packets(part, keys, buckets, counts), PACKET)
 
     return texts.select("part", "trained", "text").mapInArrow(run, PACKET)
@@ -208,16 +249,23 @@ def pair_rows(totals: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def count_pairs(frame: DataFrame, size: int, codes) -> np.ndarray:
-    """The matrix of adjacent pairs in the training rows, each text after an end."""
+    """The matrix of adjacent pairs in the training rows, each text after an end.
+
+    ``codes`` gives the codes of some rows' tokens in a row, how many each row has, and
+    the code of the end before the first.
+    """
 
     def run(batches: Iterator) -> Iterator:
         totals = np.zeros(size * size, np.int64)
         for batch in batches:
             trained = batch.column("trained").to_numpy()
-            for i in np.flatnonzero(trained):
-                own, first = codes(batch.column(1)[int(i)].as_py())
-                before = np.concatenate([[first], own[:-1]])
-                np.add.at(totals, before * size + own, trained[i])
+            used, low = np.flatnonzero(trained), 0
+            for own, each, first in codes([batch.column(1)[int(i)].as_py() for i in used]):
+                weights = np.repeat(trained[used[low : low + len(each)]], each)
+                low += len(each)
+                # Every row ends with the end, so that is what the next one follows.
+                before = np.append(first, own[:-1])
+                np.add.at(totals, before * size + own, weights)
         yield from pair_rows(totals)
 
     summed = frame.mapInArrow(run, PAIRS).groupBy("code").agg(F.sum("n").alias("n"))
@@ -365,21 +413,23 @@ def encode(texts: DataFrame, totals: DataFrame, vocabulary: Vocabulary) -> DataF
         counts = known[1][first].astype(np.int64)
         base = np.log10(counts + 1) - floor
         emission = np.log10(np.where(counts == 1, own_share, np.maximum(counts, 1)))
-        rows = []
-        for row in left.select(["part", "digest", "trained", "text"]).to_pylist():
-            at = np.searchsorted(keys, token_hashes(row["text"]))
-            rows.append(
-                (
-                    row["part"],
-                    row["digest"],
-                    row["trained"],
-                    len(at),
-                    int((counts[at] > 0).sum()),
-                    float(base[at].sum()),
-                    float(emission[at].sum()),
-                    (2 * at + (counts[at] == 1)).astype(np.uint32).tobytes(),
+        rows, number = [], 0
+        ids = [left.column(name).to_pylist() for name in ("part", "digest", "trained")]
+        texts = left.column("text")
+        for tokens in read_tokens([texts[i].as_py() for i in range(left.num_rows)]):
+            places = np.searchsorted(keys, tokens.words)[tokens.at]
+            for at in np.split(places, np.cumsum(tokens.each)[:-1]):
+                rows.append(
+                    (
+                        *(column[number] for column in ids),
+                        len(at),
+                        int((counts[at] > 0).sum()),
+                        float(base[at].sum()),
+                        float(emission[at].sum()),
+                        (2 * at + (counts[at] == 1)).astype(np.uint32).tobytes(),
+                    )
                 )
-            )
+                number += 1
         return pa.Table.from_batches([as_batch(rows, ENCODED)])
 
     own = totals.where("part >= 0").select("part", "data")
@@ -504,8 +554,9 @@ class Mover:
     """
 
     TABLES = 8
-    WORDS = 1024
+    WORDS = 2048
     ENTRIES = 8192
+    STEPS = 48
 
     def __init__(self, pairs: np.ndarray, classes: int):
         self.pairs, self.classes, self.size = pairs.astype(float), classes, len(pairs)
@@ -513,7 +564,9 @@ class Mover:
         # By code: how often each class comes after (or before) the neighbour's class.
         self.met = np.concatenate([self.pairs[:, inner], self.pairs[inner].T])
         self.base = self.f(self.met)
-        self.tables = [self.f(self.met + n) - self.base for n in range(self.TABLES)]
+        self.tables = np.concatenate(
+            [self.f(self.met + n) - self.base for n in range(1, self.TABLES + 1)]
+        )
         self.mass = self.pairs.sum(axis=1)
 
     @staticmethod
@@ -521,14 +574,34 @@ class Mover:
         return x * np.log(np.maximum(x, 1))
 
     def rises(self, codes: np.ndarray, amounts: np.ndarray) -> np.ndarray:
-        out = np.empty((len(codes), self.classes))
-        for n in range(1, self.TABLES):
-            chosen = amounts == n
-            out[chosen] = self.tables[n][codes[chosen]]
-        more = amounts >= self.TABLES
-        out[more] = self.f(self.met[codes[more]] + amounts[more][:, None]) - self.base[codes[more]]
+        n = np.minimum(amounts, self.TABLES).astype(np.int64) - 1
+        out = self.tables.take(n * (2 * self.size) + codes, axis=0, mode="clip")
+        more = np.flatnonzero(amounts > self.TABLES)
+        if len(more):
+            out[more] = self.f(self.met[codes[more]] + amounts[more][:, None]) - self.base[codes[more]]
         return out
 
+    def add_rises(self, gain, word, codes, amounts) -> None:
+        """Add up the rises of each word's entries, the n-th entry of all words at once.
+
+        Words come by how many entries they have, so those with an n-th one are in front.
+        """
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        each = np.diff(np.append(first, len(word)))
+        order = np.argsort(-each, kind="stable")
+        first, each = first[order], each[order]
+        many = int(np.count_nonzero(each > self.STEPS))
+        for low, count in zip(first[:many], each[:many], strict=True):
+            for at in range(low, low + count, self.ENTRIES):
+                part = slice(at, min(at + self.ENTRIES, low + count))
+                gain[word[low]] += self.rises(codes[part], amounts[part]).sum(axis=0)
+        first, each = first[many:], each[many:]
+        total = np.zeros((len(first), self.classes))
+        for n in range(int(each[0]) if len(each) else 0):
+            front = int(np.searchsorted(-each, -n, side="left"))
+            total[:front] += self.rises(codes[first[:front] + n], amounts[first[:front] + n])
+        gain[word[first]] += total
+
     def gains(self, own, word, codes, amounts) -> np.ndarray:
         """Each word's gain by class; entries are sorted by ``word``, places in ``own``."""
         f, pairs, size, classes = self.f, self.pairs, self.size, self.classes
@@ -539,11 +612,7 @@ class Mover:
         amount = left.sum(axis=1) + alone
         gain = np.zeros((len(own), classes))
         plain = np.flatnonzero(codes < 2 * size)
-        for low in range(0, len(plain), self.ENTRIES):
-            part = plain[low : low + self.ENTRIES]
-            first = np.flatnonzero(np.append(True, word[part][1:] != word[part][:-1]))
-            rows = np.add.reduceat(self.rises(codes[part], amounts[part]), first, axis=0)
-            gain[word[part][first]] += rows
+        self.add_rises(gain, word[plain], codes[plain], amounts[plain])
         inside = self.mass[1 : classes + 1]
         sizes, at = np.unique(amount, return_inverse=True)
         gain -= 2 * (f(inside + sizes[:, None]) - f(inside))[at]
@@ -682,9 +751,10 @@ def score_texts(
     totals = keep(total_counts(send_counts(texts), heads, classes), "totals")
     vocabulary = read_vocabulary(totals, heads, classes)
 
-    def heads_of(text: bytes) -> tuple[np.ndarray, int]:
-        own = places_in(vocabulary.words, token_hashes(text))
-        return own, int(own[-1])
+    def heads_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for tokens in read_tokens(texts):
+            places = places_in(vocabulary.words, tokens.words)
+            yield places[tokens.at], tokens.each, int(places[-1])
 
     trained = texts.where("trained > 0").select("trained", "text")
     pairs = count_pairs(trained, len(vocabulary.words) + 1, heads_of)
@@ -701,8 +771,10 @@ def score_texts(
         release(sent)
     final = keep(classed(encoded, told, size), "classed")
 
-    def classes_of(packed: bytes) -> tuple[np.ndarray, int]:
-        return np.frombuffer(packed, np.uint16).astype(np.int64), END_CLASS
+    def classes_of(rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for packed in rows:
+            own = np.frombuffer(packed, np.uint16).astype(np.int64)
+            yield own, np.array([len(own)]), END_CLASS
 
     counts = count_pairs(
         final.where("trained > 0").select("trained", "classes"), 2 * size, classes_of
@@ -716,9 +788,8 @@ def score_texts(
         for batch in batches:
             sums = []
             for packed, emission in zip(*(c.to_pylist() for c in batch.columns[-2:]), strict=True):
-                own, first = classes_of(packed)
-                own = own % size
-                sums.append(emission + float(after[np.concatenate([[first], own[:-1]]), own].sum()))
+                own = np.frombuffer(packed, np.uint16).astype(np.int64) % size
+                sums.append(emission + float(after[np.append(END_CLASS, own[:-1]), own].sum()))
             columns = [*batch.columns[:-2], pa.array(sums, pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 columns, ["digest", "n_tokens", "n_known", "base_score", "score"]

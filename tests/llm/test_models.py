@@ -320,3 +320,39 @@ def test_probabilities_of_the_next_token_add_up():
     classes, emission = model.describe(hashes, np.array([4, 9, 8, 1, 1, 1, 1, 1, 2, 2, 2, 0]))
     sums = np.bincount(classes, 10.0**emission)
     assert np.allclose(sums[sums > 0], 1.0)
+
+
+def test_tokens_are_read_alike_in_any_portions():
+    from xxhash import xxh64_intdigest
+
+    texts = ["a B  a", "", " \t\n", "é\x1cx É", "\x00 \x0b\x0c\r", "end"]
+    data = [t.encode() for t in texts]
+    words = [[w for w in re.findall(rb"[^\x20\x09-\x0D]+", t.lower())] for t in data]
+    for size in (1, 6, 1 << 20):
+        brown.READ_BYTES, before = size, brown.READ_BYTES
+        try:
+            found = list(brown.read_tokens(data))
+        finally:
+            brown.READ_BYTES = before
+        hashes = [h for tokens in found for h in tokens.words[tokens.at].tolist()]
+        assert hashes == [h for own in words for h in [*(xxh64_intdigest(w) | 1 for w in own), brown.END_WORD]]
+        assert [n for tokens in found for n in tokens.each.tolist()] == [len(own) + 1 for own in words]
+
+
+def test_gains_are_those_of_one_word_at_a_time():
+    rng = np.random.default_rng(4)
+    classes, size = 6, 9
+    pairs = rng.integers(0, 50, (size, size))
+    mover = brown.Mover(pairs, classes)
+    entries = np.unique(rng.integers(0, 400 * 2 * size, 3_000))
+    word, codes = entries // (2 * size), entries % (2 * size)
+    amounts = rng.integers(1, 14, len(entries)).astype(float)
+    total = np.zeros((400, classes))
+    for steps in (0, 3, 100):
+        mover.STEPS = steps
+        gain = np.zeros((400, classes))
+        mover.add_rises(gain, word, codes, amounts)
+        if not steps:
+            for w, c, n in zip(word, codes, amounts):
+                total[w] += mover.f(mover.met[c] + n) - mover.f(mover.met[c])
+        assert np.allclose(gain, total, rtol=1e-12, atol=1e-9)
