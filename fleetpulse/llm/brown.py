@@ -62,6 +62,7 @@ END_WORD = 0
 END_MARK = b"\xff"
 # Text whose tokens a task handles at once.
 READ_BYTES = 4 << 20
+READ_ROWS = 1024
 
 TOTALS = "part INT, bucket INT, data BINARY"
 PAIRS = "code BIGINT, n BIGINT"
@@ -265,7 +266,8 @@ def count_pairs(frame: DataFrame, size: int, codes) -> np.ndarray:
                 low += len(each)
                 # Every row ends with the end, so that is what the next one follows.
                 before = np.append(first, own[:-1])
-                np.add.at(totals, before * size + own, weights)
+                pairs = np.bincount(before * size + own, weights, size * size)
+                totals += pairs.astype(np.int64)
         yield from pair_rows(totals)
 
     summed = frame.mapInArrow(run, PAIRS).groupBy("code").agg(F.sum("n").alias("n"))
@@ -418,17 +420,16 @@ def encode(texts: DataFrame, totals: DataFrame, vocabulary: Vocabulary) -> DataF
         texts = left.column("text")
         for tokens in read_tokens([texts[i].as_py() for i in range(left.num_rows)]):
             places = np.searchsorted(keys, tokens.words)[tokens.at]
-            for at in np.split(places, np.cumsum(tokens.each)[:-1]):
-                rows.append(
-                    (
-                        *(column[number] for column in ids),
-                        len(at),
-                        int((counts[at] > 0).sum()),
-                        float(base[at].sum()),
-                        float(emission[at].sum()),
-                        (2 * at + (counts[at] == 1)).astype(np.uint32).tobytes(),
-                    )
-                )
+            first = np.cumsum(tokens.each) - tokens.each
+            n_known, of_base, of_emission = (
+                np.add.reduceat(values[places], first).tolist()
+                for values in ((counts > 0).astype(np.int64), base, emission)
+            )
+            coded = (2 * places + (counts == 1)[places]).astype(np.uint32)
+            for n, low in enumerate(first.tolist()):
+                size = int(tokens.each[n])
+                told = (size, n_known[n], of_base[n], of_emission[n], coded[low : low + size].tobytes())
+                rows.append((*(column[number] for column in ids), *told))
                 number += 1
         return pa.Table.from_batches([as_batch(rows, ENCODED)])
 
@@ -467,6 +468,18 @@ def first_classes(totals: DataFrame, words: WordClasses) -> DataFrame:
     return totals.where("part >= 0").select("part", "data").mapInArrow(run, TOLD)
 
 
+def summed(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order and the weights of each; most weights are 1."""
+    single = weights == 1
+    found = np.sort(values[single])
+    first = np.flatnonzero(np.diff(found, prepend=-1))
+    ones = np.diff(np.append(first, len(found)))
+    found = np.concatenate([found[first], values[~single]])
+    different, at = np.unique(found, return_inverse=True)
+    amounts = np.bincount(at, np.concatenate([ones, weights[~single]]), len(different))
+    return different, amounts.astype(np.uint64)
+
+
 def send_neighbours(
     encoded: DataFrame, told: DataFrame, vocabulary: Vocabulary, size: int
 ) -> DataFrame:
@@ -507,8 +520,7 @@ def send_neighbours(
             weight[free[before] & ~same],
             weight[free[after] & same],
         ]
-        entries, at = np.unique(np.concatenate(places), return_inverse=True)
-        amounts = np.bincount(at, np.concatenate(weights), len(entries)).astype(np.uint64)
+        entries, amounts = summed(np.concatenate(places), np.concatenate(weights))
         counts = np.bincount(entries // codes, minlength=len(keys))
         edges = np.array([(i << 64) // buckets for i in range(1, buckets)], U64)
         cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
@@ -772,9 +784,11 @@ def score_texts(
     final = keep(classed(encoded, told, size), "classed")
 
     def classes_of(rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        for packed in rows:
-            own = np.frombuffer(packed, np.uint16).astype(np.int64)
-            yield own, np.array([len(own)]), END_CLASS
+        for low in range(0, len(rows), READ_ROWS):
+            part = [np.frombuffer(packed, np.uint16).astype(np.int64) for packed in rows[low : low + READ_ROWS]]
+            own = np.concatenate(part)
+            # The end is one class, also where it was seen once.
+            yield own, np.array([len(x) for x in part]), END_CLASS
 
     counts = count_pairs(
         final.where("trained > 0").select("trained", "classes"), 2 * size, classes_of
