@@ -99,29 +99,29 @@ def test_site_feed_gets_the_common_layout(spark):
 
 def test_rated_power_is_a_parameter(spark):
     raw = spark.createDataFrame(
-        [("2021-01-01 12:00:00", 0.5, 1.0, 1.0)],
-        "Time string, Power double, windspeed_100m double, winddirection_100m double",
+        [(211.0, 0.75, "2019-11-05 04:50:00", 6.5)],
+        "winddirection_100m double, Power double, Time string, windspeed_100m double",
     )
-    feed = standardize_site_feed(raw, Params(rated_power=3.0))
-    assert rows(feed, "power_output") == [(1.5,)]
+    feed = standardize_site_feed(raw, Params(rated_power=8.0))
+    assert rows(feed, "power_output") == [(6.0,)]
 
 
 def test_site_times(spark):
     layout = (
-        "Time string, Power double, windspeed_100m double, winddirection_100m double"
+        "windspeed_100m double, Time string, winddirection_100m double, Power double"
     )
     raw = spark.createDataFrame(
-        [("soon", 1.0, 1.0, 1.0), ("2021-02-30 00:00:00", 2.0, 1.0, 1.0)], layout
+        [(4.5, "soon", 17.0, 0.1), (9.0, "2018-04-31 06:00:00", 300.0, 0.3)], layout
     )
     feed = standardize_site_feed(raw)
     assert rows(feed, "timestamp") == [(None,), (None,)]
     assert clean_readings(feed).count() == 0
     typed = raw.selectExpr(
-        "timestamp'2021-01-01 00:00:01' AS Time", "Power", "windspeed_100m",
+        "timestamp'2016-07-19 22:15:31' AS Time", "Power", "windspeed_100m",
         "winddirection_100m",
     )
     assert rows(standardize_site_feed(typed), "timestamp")[0] == (
-        datetime(2021, 1, 1, 0, 0, 1),
+        datetime(2016, 7, 19, 22, 15, 31),
     )
 
 
