@@ -111,7 +111,8 @@ def minimizers(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
     if not runs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
     first, place, hashes = (np.concatenate(x) for x in zip(*runs, strict=True))
-    return first, place, hashes
+    # The least of many hashes are all small: spread anew, so that buckets are even.
+    return first, place, mixed(hashes)
 
 
 Live = tuple[np.ndarray, np.ndarray]  # live minimizers, and the crowded ones among them

@@ -95,3 +95,12 @@ def test_suffix_array_equals_plain_sorting():
         both = zip(found[i - 1], found[i])
         common = next((k for k, (a, b) in enumerate(both) if a != b), min(map(len, found[i - 1 : i + 1])))
         assert (array.common[i] or 0) == (common if common >= 4 else 0)
+
+
+def test_minimizers_spread_over_buckets():
+    import numpy as np
+
+    text = np.random.default_rng(1).integers(0, 256, 60_000, np.uint8).tobytes()
+    hashes = repeats.minimizers(text, 200)[2]
+    per_bucket = np.bincount((hashes >> np.uint64(60)).astype(int), minlength=16)
+    assert per_bucket.min() > len(hashes) / 32 and per_bucket.max() < len(hashes) / 8
