@@ -65,6 +65,8 @@ PORTION = 1 << 20
 SLICE = 1 << 20
 # Starts that are put in order at a time, by whole classes of one prefix.
 STARTS = 1 << 18
+# Prefixes that are compared byte by byte at a time.
+COMPARED = 1 << 13
 
 CONTEXT = (
     "bucket INT, part INT, number INT, gram BIGINT, lead INT, starts INT, left INT, "
@@ -275,8 +277,9 @@ def suffix_arrays(
     """The suffix array of all contexts, in parts of whole classes.
 
     A class is the starts with one prefix of ``length`` bytes; starts of different
-    classes are never compared, and starts alone in their class are left out. A part
-    has about ``most`` starts, or one larger class.
+    classes are never compared, and starts alone in their class are left out. Prefixes
+    meet by hash and are told apart by their bytes. A part has about ``most`` starts, or
+    one larger class.
     """
     prefix = prefix_hashes(data, starts, length)
     order = np.argsort(prefix, kind="stable")
@@ -302,6 +305,30 @@ def suffix_arrays(
         yield SuffixArray(chosen[own], prefix[own], starts, sizes, rank, text, left, length)
 
 
+def classes(text: np.ndarray, place: np.ndarray, prefix: np.ndarray, length: int) -> np.ndarray:
+    """For the start at each place the first one with the same ``length`` bytes.
+
+    Starts come in the order of ``prefix``, a hash of those bytes: each is compared with
+    the first of its hash, those that differ with the first of them, and so on.
+    """
+    count = len(prefix)
+    new = np.concatenate([[True], prefix[1:] != prefix[:-1]])[:count]
+    first = np.maximum.accumulate(np.where(new, np.arange(count), 0))
+    strings = np.lib.stride_tricks.sliding_window_view(text, length) if count else text
+    asked = np.flatnonzero(~new)
+    while len(asked):
+        differ = [np.zeros(0, np.int64)]
+        for low in range(0, len(asked), COMPARED):
+            own = asked[low : low + COMPARED]
+            equal = strings[place[own]] == strings[place[first[own]]]
+            differ.append(own[~equal.all(axis=1)])
+        asked = np.concatenate(differ)
+        _, at, member = np.unique(first[asked], return_index=True, return_inverse=True)
+        first[asked] = asked[at][member]
+        asked = asked[first[asked] != asked]
+    return first
+
+
 class SuffixArray:
     """Starts that share a prefix of ``length`` bytes with another, class by class.
 
@@ -313,12 +340,13 @@ class SuffixArray:
     def __init__(self, chosen, prefix, starts, sizes, rank, text, left, length):
         base, before = np.cumsum(sizes) - sizes, np.cumsum(starts) - starts
         context = np.searchsorted(before, chosen, "right") - 1
-        order = np.lexsort((rank[context], prefix))
-        self.context, prefix = context[order], prefix[order]
+        kind = classes(text, base[context] + chosen - before[context], prefix, length)
+        order = np.lexsort((rank[context], kind))
+        self.context, kind = context[order], kind[order]
         self.offset = chosen[order] - before[self.context]
         place = base[self.context] + self.offset
         same = np.zeros(len(place), bool)
-        same[1:] = prefix[1:] == prefix[:-1]
+        same[1:] = kind[1:] == kind[:-1]
         ends = base[self.context] + sizes[self.context]
         self.left = np.where(
             self.offset > 0, text[np.maximum(place - 1, 0)].astype(np.int64), left[self.context]

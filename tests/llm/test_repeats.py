@@ -97,6 +97,19 @@ def test_suffix_array_equals_plain_sorting():
         assert (array.common[i] or 0) == (common if common >= 4 else 0)
 
 
+def test_prefixes_of_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+
+    texts = [b"abcabcabcabc", b"xabcabcabc", b"abcabcabcabd", b"zzzzabca"]
+    sizes = np.array([len(t) - 3 for t in texts])
+    monkeypatch.setattr(repeats, "prefix_hashes", lambda data, starts, _: np.zeros(starts.sum(), np.uint64))
+    (array,) = repeats.suffix_arrays(texts, np.zeros(4, int), sizes, np.full(4, -1), 4)
+    found = [texts[c][o : o + 4] for c, o in zip(array.context, array.offset)]
+    assert sorted(found) == sorted(t[i : i + 4] for t in texts for i in range(len(t) - 3))
+    assert len(set(found)) == 1 + sum(a != b for a, b in zip(found, found[1:]))
+    assert [x == y for x, y in zip(found, found[1:])] == [c > 0 for c in array.common[1:]]
+
+
 def test_minimizers_spread_over_buckets():
     import numpy as np
 
