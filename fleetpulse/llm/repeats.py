@@ -27,6 +27,7 @@ count as occurrences; an empty table gives an empty result; further columns are
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -300,7 +301,7 @@ def suffix_arrays(
     text = np.frombuffer(b"".join(data), np.uint8)
     first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]])[: len(prefix)])
     cuts = first[np.flatnonzero(np.diff(first // most, prepend=-1))]
-    for low, high in zip(cuts, [*cuts[1:], len(prefix)], strict=True):
+    for low, high in itertools.pairwise([*cuts, len(prefix)]):
         own = slice(low, high)
         yield SuffixArray(chosen[own], prefix[own], starts, sizes, rank, text, left, length)
 

@@ -117,3 +117,11 @@ def test_minimizers_spread_over_buckets():
     hashes = repeats.minimizers(text, 200)[2]
     per_bucket = np.bincount((hashes >> np.uint64(60)).astype(int), minlength=16)
     assert per_bucket.min() > len(hashes) / 32 and per_bucket.max() < len(hashes) / 8
+
+
+def test_contexts_without_repeats_have_no_suffix_array():
+    import numpy as np
+
+    texts = [b"abcdefgh", b"ijklmnop"]
+    sizes = np.array([len(t) - 3 for t in texts])
+    assert not list(repeats.suffix_arrays(texts, np.zeros(2, int), sizes, np.full(2, -1), 4))
