@@ -130,22 +130,31 @@ def meeting_links(meetings: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return meetings.select("members").mapInArrow(run, "a BIGINT, b BIGINT")
 
 
-def crowd_links(crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Exact links among members of large meetings, linear in their number."""
-    masks = np.array(
-        [
-            sum(1 << bit for bit in bits)
-            for size in range(distance // 2 + 1)
-            for bits in combinations(range(BITS), size)
-        ],
-        np.uint64,
+def ball(radius: int) -> np.ndarray:
+    """The masks of at most ``radius`` bits."""
+    masks = (
+        sum(1 << bit for bit in bits)
+        for size in range(radius + 1)
+        for bits in combinations(range(BITS), size)
     )
+    return np.fromiter(masks, np.uint64)
+
+
+def midpoint_links(crowd: DataFrame, even: int, odd: int) -> DataFrame:
+    """Links to the least fingerprint at each midpoint that a fingerprint reaches.
+
+    Those with an even number of bits reach ``even`` bits far, others ``odd``. Where the
+    two differ, a midpoint links only if both sorts reach it: any two of different sorts
+    are then near, which connects them all.
+    """
+    reach = [ball(even), ball(odd)]
 
     def name(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for value in batch.column(0).to_numpy().view(np.uint64):
+                masks = reach[int(np.bitwise_count(value)) % 2]
                 midpoints = (masks ^ value).view(np.int64)
                 own = np.full(len(masks), value, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -153,15 +162,28 @@ def crowd_links(crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 )
 
     named = crowd.select("fp").mapInArrow(name, "midpoint BIGINT, fp BIGINT")
+    sort = F.bit_count("fp") % 2
+    sorts = [] if even == odd else [(F.min(sort) < F.max(sort)).alias("both")]
     firsts = named.groupBy("midpoint").agg(
-        F.min("fp").alias("a"), F.max("fp").alias("z"), F.count("*").alias("n")
+        F.min("fp").alias("a"), F.max("fp").alias("z"), F.count("*").alias("n"), *sorts
     )
-    shared = firsts.where("n > 1")
+    shared = firsts.where("n > 1" if even == odd else "n > 1 AND both")
     pairs = shared.where("n = 2").select("a", F.col("z").alias("b"))
     more = named.join(keep(shared.where("n > 2").select("midpoint", "a"), "midpoints"), "midpoint")
     return pairs.union(more.select("a", F.col("fp").alias("b")))
 
 
+def crowd_links(crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Exact links among members of large meetings, linear in their number.
+
+    Members at most twice ``distance // 2`` apart share a midpoint halfway. Members at an
+    odd ``distance`` are of different parity, so those of one parity reach a bit farther.
+    """
+    half = distance // 2
+    links = midpoint_links(crowd, half, half)
+    return links.union(midpoint_links(crowd, half + 1, half)) if distance % 2 else links
+
+
 def fingerprint_links(
     prints: DataFrame, count: int, distance: int = DISTANCE, crowd: int = CROWD
 ) -> DataFrame:

@@ -62,6 +62,27 @@ def test_crowds_are_linked_exactly(spark, crowd):
     assert got == dict(zip(ordered, near_components(ordered)))
 
 
+@pytest.mark.parametrize("distance", [1, 3, 5])
+def test_odd_distances_are_linked_exactly_in_a_crowd(spark, distance):
+    random.seed(distance)
+    prints = {random.getrandbits(64) for _ in range(6 if distance == 5 else 20)}
+    for centre in list(prints)[:6]:
+        at = centre
+        for _ in range(3):  # a chain of links of just the distance, and a near miss
+            at ^= sum(1 << b for b in random.sample(range(64), distance))
+            prints.add(at)
+        prints.add(at ^ sum(1 << b for b in random.sample(range(64), distance + 1)))
+    ordered = sorted(prints)
+    frame = spark.createDataFrame(
+        [(p - 2**64 if p >> 63 else p, i) for i, p in enumerate(ordered)], "fp long, least_id long"
+    )
+    links = simhash.crowd_links(frame, distance).distinct().collect()
+    assert all(((r.a ^ r.b) % 2**64).bit_count() <= 2 * distance for r in links)
+    groups = simhash.near_groups(frame, distance, crowd=1).collect()
+    got = {r.fp % 2**64: r.component_id for r in groups}
+    assert got == dict(zip(ordered, near_components(ordered, distance)))
+
+
 @pytest.mark.parametrize("count", [10, 10**6, 10**9, 10**11])
 def test_any_number_of_blocks_leaves_one_in_common(count):
     masks = simhash.block_masks(simhash.choose_blocks(count))
