@@ -12,7 +12,11 @@ a kept table whose size Spark knows: it is sent to all tasks only while it is un
 
 Defined cases: a NULL text has no words; an item without words has no window and one of
 fewer than ``WINDOW`` words is one window; items that share a window are each reported;
-rows that repeat are each in the result; further columns are ignored or carried along.
+items without an id count as one item that the list of ids leaves out; document ids may
+be NULL or repeat, rows are told apart by a number of their own; texts of any length are
+whole; an empty benchmark contaminates nothing and an empty ``documents`` gives an empty
+result; rows that repeat are each in the result; further columns are ignored or carried
+along.
 """
 
 from __future__ import annotations
@@ -93,7 +97,8 @@ def word_rows(docs: DataFrame, *columns: Column) -> DataFrame:
 
 
 def contamination(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``row_no``, ``n_hit`` and the hit ``items`` for rows that any window occurs in."""
+    """``row_no``, ``n_hit``, ``n_items`` and the hit ``items`` for rows that any window
+    occurs in."""
     windows = keep(item_windows(benchmark, window), "windows")
     found = keep(occurrences(rows, windows.select("window").distinct()), "occurrences")
     last = (F.col("start") + F.col("n_window") - 1).cast("int")
@@ -101,7 +106,10 @@ def contamination(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     hits = covered.distinct().groupBy("row_no").agg(F.count("*").alias("n_hit"))
     pairs = found.select("row_no", "window").distinct().join(windows, "window")
     items = pairs.select("row_no", "item_id").distinct().groupBy("row_no")
-    return hits.join(items.agg(F.collect_list("item_id").alias("items")), "row_no")
+    listed = items.agg(
+        F.count("*").alias("n_items"), F.collect_list("item_id").alias("items")
+    )
+    return hits.join(listed, "row_no")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -122,7 +130,7 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort(items)), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )

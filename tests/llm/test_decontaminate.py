@@ -46,6 +46,21 @@ def test_odd_rows_equal_brute_force(spark, limit):
     assert got == sorted((i or 0, *x) for (i, _), x in zip(ROWS, contaminated(ROWS, ITEMS)))
 
 
+def test_items_without_an_id_count_as_one_that_is_not_listed(spark, tmp_path):
+    documents(spark, [(1, LONG), (2, "clean words only")]).write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(None, LONG), (None, LONG[:80]), (7, LONG)]
+    spark.createDataFrame(items, BENCHMARK).write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = decontaminate.op7_decontamination(spark, str(tmp_path)).collect()
+    got = {r.doc_id: (r.n_items, r.items_sha256, r.contaminated) for r in rows}
+    assert got == {1: (2, digest(b"7"), True), 2: (0, digest(b""), False)}
+    import duckdb
+
+    for name in ("documents", "benchmark"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = duckdb.sql(decontaminate.SQL).df().set_index("doc_id")
+    assert {i: tuple(expected.loc[i, ["n_items", "items_sha256", "contaminated"]]) for i in got} == got
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], BENCHMARK)
     assert found(spark, documents(spark, []), spark.createDataFrame(ITEMS, BENCHMARK)) == []
