@@ -95,8 +95,13 @@ def test_added_spans_are_other_forms_of_personal_data(spark):
     ]
     spans = {r.doc_id: r.spans for r in pii.find(documents(spark, fresh), model).collect()}
     assert spans == {1: "phone:11:25", 2: "email:9:41", 3: "", 4: ""}
-    redacted = pii.redact(documents(spark, fresh), pii.find(documents(spark, fresh), model))
-    assert {r.doc_id: r.text for r in redacted.collect()}[1] == "call me on [phone] before noon"
+    shared = [(1, fresh[0][1]), (1, "mail a@b.org"), (None, fresh[0][1]), (2, None), (2, "é 10.0.0.1.")]
+    redacted = pii.redact(documents(spark, shared, clashing=True), model).collect()
+    phone = "call me on [phone] before noon"
+    assert sorted((r.doc_id or 0, r.text) for r in redacted) == sorted(
+        [(1, phone), (1, "mail [email]"), (0, phone), (2, ""), (2, "é [ip].")]
+    )
+    assert pii.redact(documents(spark, []), model).count() == 0
 
 
 @pytest.mark.parametrize(
