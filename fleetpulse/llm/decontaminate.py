@@ -1,14 +1,16 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 A window is ``WINDOW`` consecutive words of a benchmark item. A document that holds a
-window holds each of its words, so one word is a sufficient prefix: the rarest, by
-counts over all documents. Documents are joined on these words alone; the word's place
-in the window bounds where the window may start, document length bounds where it may
-end, and the words themselves decide. Only DataFrame functions are used.
+window holds each of its shingles of ``SHINGLE`` words (a shorter window is one shingle),
+so one shingle is a sufficient prefix: the rarest, by counts over all documents. Documents
+are joined on these shingles alone; the shingle's place in the window bounds where the
+window may start, document length bounds where it may end, and the words themselves
+decide. Only DataFrame functions are used.
 
-The documents' words are kept once in the shared folder. The prefix words are joined as
-a kept table whose size Spark knows: it is sent to all tasks only while it is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffled otherwise.
+The documents' words are kept once in the shared folder. The prefix shingles are joined
+as a kept table whose size Spark knows: it is sent to all tasks only while it is under
+``spark.sql.autoBroadcastJoinThreshold`` and shuffled otherwise. Words are fetched for
+rows with candidates only.
 
 Defined cases: a NULL text has no words; an item without words has no window and one of
 fewer than ``WINDOW`` words is one window; items that share a window are each reported;
@@ -21,6 +23,8 @@ along.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,7 @@ from fleetpulse.llm.shared import (
 )
 
 WINDOW = 10
+SHINGLE = 3
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -52,36 +57,72 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return placed.select("item_id", joined.alias("window")).distinct()
 
 
-def prefixes(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """Each window's rarest word in the documents (``word``) and its place (``lead``).
+def shingle(words: Column, at: Column, size: int) -> Column:
+    """The name of the ``size`` words from place ``at`` (from 0): a hash, checked later."""
+    return F.xxhash64(F.lit(size), *(F.get(words, at + i) for i in range(size)))
+
+
+def shingles(rows: DataFrame, size: int, *columns: str) -> DataFrame:
+    """``columns``, the place ``at`` (from 0) and the name ``token`` of each shingle."""
+    places = F.sequence(F.lit(0), F.size("words") - size)
+    placed = rows.where(F.size("words") >= size).select(
+        *columns, "words", F.explode(places).alias("at")
+    )
+    return placed.select(*columns, "at", shingle(F.col("words"), F.col("at"), size).alias("token"))
+
+
+def shingles_of(rows: DataFrame, sizes: list[int], *columns: str) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName,
+        [shingles(rows, size, *columns).withColumn("size", F.lit(size)) for size in sizes],
+    )
+
 
-    A window with a word that no document has cannot occur and is left out.
+def prefixes(rows: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Each window's rarest shingle in the documents (``token``) and its place (``lead``).
+
+    A window with a shingle that no document has cannot occur and is left out.
     """
-    spread = windows.select(
-        "window", F.posexplode(F.split("window", " ")).alias("lead", "word")
+    spread = shingles_of(windows, sizes, "window", "n_window", "needs")
+    spread = keep(spread.where(F.col("size") == F.col("needs")), "window-shingles")
+    vocabulary = keep(spread.select("token").distinct(), "vocabulary")
+    found = shingles_of(rows, sizes, "row_no").select("token").join(vocabulary, "token")
+    counts = keep(found.groupBy("token").agg(F.count("*").alias("n")), "shingle-counts")
+    ranked = spread.join(counts, "token", "left").groupBy("window", "n_window").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "at")).alias("first")
     )
-    vocabulary = keep(spread.select("word").distinct(), "vocabulary")
-    found = rows.select(F.explode("words").alias("word")).join(vocabulary, "word")
-    counts = keep(found.groupBy("word").agg(F.count("*").alias("n")), "word-counts")
-    ranked = spread.join(counts, "word", "left").groupBy("window").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "lead")).alias("first"),
-        F.count("*").alias("n_window"),
+    return ranked.where("first.n > 0").select(
+        "window", "n_window", "first.token", F.col("first.at").alias("lead")
     )
-    return ranked.where("first.n > 0").select("first.word", "first.lead", "window", "n_window")
 
 
 def occurrences(rows: DataFrame, windows: DataFrame) -> DataFrame:
     """Where windows occur: ``row_no``, ``start`` (from 0), ``n_window``, ``window``."""
-    first_words = keep(prefixes(rows, windows), "prefixes")
+    words = F.split("window", " ")
+    split = windows.select(
+        "window",
+        words.alias("words"),
+        F.size(words).alias("n_window"),
+        F.least(F.size(words), F.lit(SHINGLE)).alias("needs"),
+    )
+    split = keep(split, "split-windows")
+    # At most SHINGLE different ones; one pass over the documents each, mostly one in all.
+    sizes = sorted(row.needs for row in split.select("needs").distinct().collect()) or [SHINGLE]
+    first = keep(prefixes(rows, split, sizes), "prefixes")
     start = F.col("at") - F.col("lead")
-    candidates = (
-        rows.select("row_no", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
-        .join(first_words, "word")
-        .where((start >= 0) & (start + F.col("n_window") <= F.col("n")))
-        .select("row_no", start.alias("start"), "n_window", "window")
+    sized = rows.select("row_no", "words", F.size("words").alias("n"))
+    met = shingles_of(sized, sizes, "row_no", "n").join(first, "token")
+    candidates = keep(
+        met.where((start >= 0) & (start + F.col("n_window") <= F.col("n"))).select(
+            "row_no", start.alias("start"), "n_window", "window"
+        ),
+        "candidates",
     )
-    there = F.slice("words", F.col("start") + 1, F.col("n_window").cast("int"))
-    verified = candidates.join(rows.select("row_no", "words"), "row_no").where(
+    # Only the words of rows with candidates move.
+    chosen = keep(candidates.select("row_no").distinct(), "candidate-rows")
+    held = rows.select("row_no", "words").join(chosen, "row_no", "left_semi")
+    there = F.slice("words", F.col("start") + 1, F.col("n_window"))
+    verified = candidates.join(keep(held, "candidate-words"), "row_no").where(
         F.concat_ws(" ", there) == F.col("window")
     )
     return verified.select("row_no", "start", "n_window", "window")

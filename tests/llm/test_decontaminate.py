@@ -11,6 +11,7 @@ ITEMS = [
     (1, LONG), (2, LONG.upper() + "!"), (3, "only three words"), (4, ""), (5, None),
     (6, "the the the the the the the the the the the"), (6, "only three words"),
     (7, "Ünïcode Ärger und über alles"), (8, "never seen in any document at all, not once here"),
+    (9, "x"), (10, "only, THREE"), (11, "absent-word"),
 ]
 ROWS = [
     (1, None), (2, ""), (3, LONG), (4, "pre " + LONG.replace(" ", "-") + " post"), (5, "the " * 500),
