@@ -125,6 +125,56 @@ def test_kinds_that_few_documents_hold_are_fitted(spark):
     assert {"phone", "email"} <= set(pii.fit(documents(spark, rows)).trees)
 
 
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii.fit(documents(spark, sample(spark)))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "a@b.org"), (None, "1.2.3.4"), (1, "")]])
+def test_every_kind_is_fitted_at_every_size(spark, rows):
+    assert set(pii.fit(documents(spark, rows)).trees) == set(pii.KINDS)
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_made_up_spans_are_base_spans(kind):
+    for number in range(1000):
+        body = pii.made_up(kind, number)
+        assert (kind, 0, len(body)) in pii.base_spans(body), body
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_recall_of_planted_forms(spark, pii_model, kind):
+    texts = [text or "" for _, text in sample(spark)]
+    caught = Counter()
+    for number in range(5000, 5100):
+        for form, body in enumerate(pii.rewritten(kind, pii.made_up(kind, number))):
+            lead = texts[number % len(texts)][:150] + " "
+            text = f"{lead}{body} and more"
+            base = pii.base_spans(text)
+            every = base + pii.added_spans(text, base, pii_model)
+            caught[form] += (kind, len(lead), len(lead) + len(body)) in every
+    assert caught and min(caught.values()) >= 90, caught
+
+
+def test_added_spans_equal_one_by_one_choice(spark, pii_model):
+    for number, (_, text) in enumerate(sample(spark)):
+        kind = pii.KINDS[number % 4]
+        body = pii.rewritten(kind, pii.made_up(kind, number))[0]
+        text = f"{(text or '')[:3000]} {body} {body}1 2"
+        base = pii.base_spans(text)
+        rated = []
+        for span in pii.candidates(text):
+            x = np.array([pii.features(text, span)], float)
+            score = float(pii_model.trees[span[0]].score(x)[0])
+            if score >= pii_model.thresholds[span[0]]:
+                rated.append((-score, span))
+        chosen = list(base)
+        for _, (k, low, high) in sorted(rated):
+            if all(high <= a or b <= low for _, a, b in chosen):
+                chosen.append((k, low, high))
+        assert sorted(chosen) == sorted(base + pii.added_spans(text, base, pii_model))
+
+
 def test_pii_query_finds_what_the_patterns_find(spark):
     found = {r.doc_id: r for r in pii.op6_pii(spark, FOLDER).collect()}
     for doc_id, text in sample(spark):
