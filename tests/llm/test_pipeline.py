@@ -83,7 +83,7 @@ def test_stages_take_odd_tables(spark, clashing):
 def test_everything_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(SQL) <= set(entry_points.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -92,7 +92,7 @@ def test_queries_equal_their_sql(spark, name):
     from collections import Counter
 
     duck = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     frame = QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
