@@ -6,14 +6,15 @@ each group of digits the spans to each of the next few groups. Boosted trees loo
 context; candidates over their kind's threshold that touch no base span are added, the
 best of overlapping ones first.
 
-The trees learn on ``KIND_DOCS`` documents with a base span of each kind and on
-``OTHER_DOCS`` others with at signs or digits, the lowest by a hash
-of the id. Base spans and rewritten forms of them (spelt-out signs, other separators, no
-prefix) are the examples; all other candidates are counter-examples. Besides, at every
-size, ``PRIOR`` made-up spans of each kind are put into the sample's texts, so that a kind
-which a corpus hardly holds, or in one form only, is fitted as well. A kind's threshold
-is the least score at which the other half of the sample shows ``PRECISION`` of what is
-chosen to be examples; a kind without such a score adds nothing, which is logged.
+The trees learn, by Spark's GBTClassifier, on every document with an id and with at signs
+or digits, of any length, in the half that a hash of the id gives. Base spans and
+rewritten forms of them (spelt-out signs, other separators, no prefix) are the examples;
+all other candidates are counter-examples, every one of them. Besides, at every size,
+``PRIOR`` made-up spans of each kind, half in each half, are learnt, so that a kind which a
+corpus hardly holds, or in one form only, is fitted as well. A kind's threshold is the
+least score at which the other half shows ``PRECISION`` of what is chosen to be examples;
+a kind without such a score adds nothing, which is logged. Spark finds the bin bounds of
+the features from its own sample of the rows; the counts of the trees are of all rows.
 
 Defined cases: a NULL text is the empty text; rows that repeat are reported each; ids may
 repeat or be NULL (rows without one are searched, not fitted on); an empty table is fitted
@@ -27,7 +28,6 @@ import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -35,25 +35,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.boosting import BoostedTrees, fit_trees
-from fleetpulse.llm.shared import by_value, keep, table, whole_text
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Row, Window
+
+from fleetpulse.llm.boosting import BINS, DEPTH, LEAST_LEAF, RATE, TREES, BoostedTrees
+from fleetpulse.llm.shared import by_value, keep, shared_path, table, whole_text
 
 by_value(__name__)
 
 log = logging.getLogger(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
-KIND_DOCS = 400
-OTHER_DOCS = 500
-OTHER = "other"
-FIT_BYTES = 32_768
 PRECISION = 0.98
-# Made-up spans of each kind, half of them for each half of the sample, and the characters
-# of a sampled text around one.
+# Made-up spans of each kind, half of them for each half, and the characters of a text
+# around one.
 PRIOR = 80
 PRIOR_AROUND = 200
-# At most about so many counter-examples of a kind from one text.
-TEXT_OTHERS = 200
 
 # The base patterns of the contract. Spans are found leftmost first, without overlap;
 # the look-behind and the possessive forms change speed only.
@@ -295,6 +293,7 @@ def with_made_up(texts: list[str], kind: str, number: int) -> str:
 class PiiModel:
     trees: dict[str, BoostedTrees]
     thresholds: dict[str, float]
+    examples: int = 0
 
 
 class Taken:
@@ -334,7 +333,7 @@ def examples(text: str) -> Iterator[tuple[str, list[float], int]]:
         ):
             others[kind].append((kind, low, high))
     for spans in others.values():
-        for span in spans[:: len(spans) // TEXT_OTHERS + 1]:
+        for span in spans:
             yield span[0], features(text, span), 0
     for kind, low, high in base:
         for body in rewritten(kind, text[low:high]):
@@ -347,79 +346,120 @@ def examples(text: str) -> Iterator[tuple[str, list[float], int]]:
                     yield kind, features(changed, span), 0
 
 
-def held_kinds(texts: DataFrame) -> DataFrame:
-    """``id`` and ``kind``, a row for each kind of base span in a text, or for none."""
+EXAMPLES = "half INT, kind STRING, x ARRAY<DOUBLE>, label DOUBLE"
+
+
+def labelled(texts: DataFrame) -> DataFrame:
+    """``half``, ``kind``, features ``x`` and ``label`` of every example of the texts."""
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            rows = [
+                (half, kind, x, float(y))
+                for half, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                for kind, x, y in examples(text)
+            ]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.int32(), pa.string(), pa.list_(pa.float64()), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["half", "kind", "x", "label"],
+            )
+
+    return texts.select("half", "text").mapInArrow(run, EXAMPLES)
+
 
+def made_up_texts(spark: SparkSession) -> DataFrame:
+    """``half`` and ``text``: ``PRIOR`` made-up spans of each kind, half in each half."""
+    rows = [(number % 2, with_made_up([], kind, number)) for kind in KINDS for number in range(PRIOR)]
+    return spark.createDataFrame(rows, "half INT, text STRING")
+
+
+def read_trees(spark: SparkSession, path: str) -> BoostedTrees:
+    """The saved trees of a Spark GBT classifier, as complete trees of ``DEPTH`` levels.
+
+    A leaf above the last level is reached through cuts that always go left; the weights and
+    the factor 2 of Spark's logistic loss go into the leaf values.
+    """
+    saved = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weights")
+    weights = saved.orderBy("treeID").collect()
+    nodes: dict[int, dict[int, Row]] = {}
+    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").collect():
+        nodes.setdefault(row.treeID, {})[row.nodeData.id] = row.nodeData
+    inner = 2**DEPTH - 1
+    features, cuts, leaves = [], [], []
+    for meta in weights:
+        feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
+        leaf = np.zeros(2**DEPTH)
+        own = nodes[meta.treeID]
+        stack = [(0, 0)]
+        while stack:
+            node_id, at = stack.pop()
+            node = own[node_id]
+            if node.leftChild < 0:
+                while at < inner:
+                    at = 2 * at + 1
+                leaf[at - inner] = 2 * meta.weights * node.prediction
+            else:
+                feature[at] = node.split.featureIndex
+                cut[at] = node.split.leftCategoriesOrThreshold[0]
+                stack += [(node.leftChild, 2 * at + 1), (node.rightChild, 2 * at + 2)]
+        features.append(feature)
+        cuts.append(cut)
+        leaves.append(leaf)
+    if not weights:
+        return BoostedTrees(0.0, np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, 2**DEPTH)))
+    return BoostedTrees(0.0, np.array(features), np.array(cuts), np.array(leaves))
+
+
+def least_precise_score(scored: DataFrame) -> float | None:
+    """The least score at which the examples from it up show ``PRECISION``; None if none."""
+    at = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    at = at.select(
+        "score",
+        (F.sum("right").over(down) / F.sum("n").over(down)).alias("precision"),
+    )
+    return at.where(F.col("precision") >= PRECISION).agg(F.min("score")).first()[0]
+
+
+def scores(examples: DataFrame, model: BoostedTrees) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            places, kinds = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                found = sorted({span[0] for span in base_spans(text)}) or [OTHER]
-                places += [i] * len(found)
-                kinds += found
-            ids = batch.column("id").take(pa.array(places, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(kinds, pa.string())], ["id", "kind"])
-
-    kind_of_id = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInArrow(run, f"id {kind_of_id}, kind STRING")
-
-
-def dealt_halves(chosen: list[tuple]) -> dict:
-    """The half of each id, so that each kind's documents are in both, rare kinds first."""
-    by_kind: dict[str, list] = {}
-    for doc_id, kind in chosen:
-        by_kind.setdefault(kind, []).append(doc_id)
-    half_of: dict = {}
-    for _, ids in sorted(by_kind.items(), key=lambda item: (len(item[1]), item[0])):
-        sizes = [sum(half_of.get(i) == half for i in ids) for half in range(2)]
-        for doc_id in ids:
-            if doc_id not in half_of:
-                half_of[doc_id] = int(sizes[1] < sizes[0])
-                sizes[half_of[doc_id]] += 1
-    return half_of
+            x = np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, -1)
+            got = model.score(x) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(got, pa.float64()), batch.column("label")], ["score", "label"]
+            )
+
+    return examples.select("x", "label").mapInArrow(run, "score DOUBLE, label DOUBLE")
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> PiiModel:
+    """Trees fitted on the examples of every document with an id, scored on the other half."""
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"))
-    texts = texts.where(F.col("id").isNotNull() & (F.octet_length("text") <= FIT_BYTES))
-    order = [F.xxhash64("id"), F.col("id")]
-    # Ids first, then their texts: no other text moves.
-    kinds_held = keep(held_kinds(texts.where(F.col("text").rlike("[0-9@]"))), "held-kinds")
-    sizes = {**dict.fromkeys(KINDS, KIND_DOCS), OTHER: OTHER_DOCS}
-    each = [
-        kinds_held.where(F.col("kind") == kind).distinct().orderBy(*order).limit(size)
-        for kind, size in sizes.items()
-    ]
-    chosen = keep(reduce(DataFrame.unionByName, each), "chosen-ids")
-    one_each = texts.join(chosen.select("id").distinct(), "id")
-    one_each = one_each.groupBy("id").agg(F.min("text").alias("text")).orderBy(*order)
-    half_of = dealt_halves([tuple(row) for row in chosen.orderBy("kind", *order).collect()])
-    halves: list[dict[str, tuple[list, list]]] = [{k: ([], []) for k in KINDS} for _ in range(2)]
-    held: tuple[list[str], list[str]] = ([], [])
-    for row in one_each.collect():
-        held[half_of[row.id]].append(row.text)
-    for which, (half, own) in enumerate(zip(halves, held, strict=True)):
-        put = [(kind, number) for kind in KINDS for number in range(which, PRIOR, 2)]
-        learnt = own + [with_made_up(own, kind, number) for kind, number in put]
-        for text in learnt:
-            for kind, x, y in examples(text):
-                half[kind][0].append(x)
-                half[kind][1].append(y)
+    texts = texts.where(F.col("id").isNotNull() & F.col("text").rlike("[0-9@]"))
+    texts = texts.select(F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half"), "text")
+    every = keep(labelled(texts.unionByName(made_up_texts(spark))), "pii-examples")
     trees, thresholds = {}, {}
     for kind in KINDS:
-        (x, y), (other_x, other_y) = (tuple(map(np.array, half[kind])) for half in halves)
-        model = fit_trees(x.astype(float), y.astype(float))
-        scores = model.score(other_x.astype(float))
-        order = np.argsort(-scores, kind="stable")
-        right = np.cumsum(other_y[order]) / np.arange(1, len(order) + 1)
-        last = np.append(scores[order][1:] < scores[order][:-1], True)
-        fitting = np.flatnonzero((right >= PRECISION) & last)
-        if len(fitting):
+        own = every.where(F.col("kind") == kind)
+        learnt = own.where(F.col("half") == 0).select(array_to_vector("x").alias("features"), "label")
+        gbt = GBTClassifier(
+            maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, maxBins=BINS,
+            minInstancesPerNode=LEAST_LEAF, seed=42,
+        )
+        path = shared_path(spark, f"pii-trees-{kind}")
+        gbt.fit(learnt).write().save(path)
+        model = read_trees(spark, path)
+        least = least_precise_score(scores(own.where(F.col("half") == 1), model))
+        if least is not None:
             trees[kind] = model
-            thresholds[kind] = max(float(scores[order][fitting[-1]]), 0.5)
+            thresholds[kind] = max(float(least), 0.5)
         else:
             log.warning("%s: no score is precise enough; only its pattern is used", kind)
-    return PiiModel(trees, thresholds)
+    return PiiModel(trees, thresholds, every.count())
 
 
 def added_spans(text: str, base: list[Span], model: PiiModel) -> list[Span]:

@@ -411,3 +411,13 @@ def test_gains_are_those_of_one_word_at_a_time():
             for w, c, n in zip(word, codes, amounts):
                 total[w] += mover.f(mover.met[c] + n) - mover.f(mover.met[c])
         assert np.allclose(gain, total, rtol=1e-12, atol=1e-9)
+
+
+def test_fit_learns_from_every_document(spark):
+    rows = [(i, f"mail u{i}@m{i % 7}.example.org or call +1 (415) 555-{1000 + i}") for i in range(900)]
+    rows += [(2000, "x " * 20_000 + "see 10.1.2.3 and 4111 1111 1111 1111"), (None, "a@b.org")]
+    made_up = [with_kind for kind in pii.KINDS for with_kind in
+               (pii.with_made_up([], kind, number) for number in range(pii.PRIOR))]
+    wanted = sum(1 for _, text in rows[:-1] for _ in pii.examples(text))
+    wanted += sum(1 for text in made_up for _ in pii.examples(text))
+    assert pii.fit(documents(spark, rows)).examples == wanted
